@@ -15,11 +15,13 @@ def to_long(text: Column, strict: bool = False) -> Column:
 
 def to_double(text: Column, strict: bool = False) -> Column:
     # Java reads "12d" and "12f" as numbers; an export never means that.
-    java_suffix = text.rlike(r"[0-9.][dDfF]\s*$")
+    bare = F.trim(text)
+    java_suffix = (
+        bare.endswith("d") | bare.endswith("D") | ((bare.endswith("f") | bare.endswith("F")) & ~F.lower(bare).endswith("inf"))
+    )
     if strict:
-        return F.when(java_suffix, F.raise_error(F.concat(F.lit("not a number: "), text))).otherwise(
-            text.cast("double")
-        )
+        wrong = F.raise_error(F.concat(F.lit("not a number: "), text))
+        return F.when(java_suffix, wrong).otherwise(text.cast("double"))
     return F.when(~java_suffix, text.try_cast("double"))
 
 

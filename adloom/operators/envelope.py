@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -66,18 +65,18 @@ def fields(kind: str = "text", /, **key_by_name: str) -> list[Field]:
     return [Field(key, name, kind) for name, key in key_by_name.items()]
 
 
-def _container_keys(data: Column, scalars: Iterable[Column]) -> Column:
-    """Keys whose value is an object or array, looked up only where one could be.
+def _scalar(data: Column, key: str) -> Column:
+    """The parsed member, NULL where the document holds an object or array.
 
-    Spark hands out the JSON text of a container read as a string. A scalar
-    member must be NULL there, yet a real string may start with a bracket too,
-    so the value's type decides. The second parse runs only on rows with such a
-    leading bracket.
+    Spark hands out the JSON text of a container read as a string, yet a real
+    string may start with a bracket too, so the value's type decides. The second
+    look at the document happens only for values with such a leading bracket.
     """
-    suspect = reduce(or_, (F.substring(v, 1, 1).isin("{", "[") for v in scalars))
-    members = F.from_json(data, "map<string,variant>")
-    is_container = lambda _, v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")
-    return F.when(suspect, F.map_keys(F.map_filter(members, is_container)))
+    value = F.col(f"`{key}`")
+    kind = F.schema_of_variant(F.element_at(F.from_json(data, "map<string,variant>"), key))
+    return F.when(
+        value.startswith("{") | value.startswith("["), F.when(~kind.rlike("^(OBJECT|ARRAY)"), value)
+    ).otherwise(value)
 
 
 def parse_envelope(
@@ -89,21 +88,19 @@ def parse_envelope(
 ) -> DataFrame:
     """Parse ``data`` once and return one typed column per field plus ``keep``."""
     schema = ", ".join(f"`{key}` {ddl}" for key, ddl in {f.key: f.ddl for f in wanted}.items())
-    member = {f.key: F.col("__json").getField(f.key) for f in wanted}
-    scalar_keys = list(dict.fromkeys(f.key for f in wanted if not f.nested))
-
-    parsed = df.select(F.from_json(data, schema).alias("__json"), data, *keep)
-    if scalar_keys:
-        containers = _container_keys(F.col(data), [member[k] for k in scalar_keys])
-        parsed = parsed.select("__json", containers.alias("__containers"), *keep)
-
-    def scalar(key: str) -> Column:
-        is_container = F.coalesce(F.array_contains("__containers", key), F.lit(False))
-        return F.when(~is_container, member[key])
-
-    return parsed.select(
-        *[f.read(member[f.key] if f.nested else scalar(f.key), strict).alias(f.name) for f in wanted],
-        *keep,
+    document = df.select(F.col(data).alias("__data"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
+    # Unpacking the document as a one-element array (always one row) keeps later
+    # filters and join conditions above the parse; as a plain projection Spark
+    # would copy the parse into every one of them.
+    members = document.select(
+        "__data", *[f"__keep_{c}" for c in keep], F.inline_outer(F.array(F.from_json("__data", schema)))
+    )
+    return members.select(
+        *[
+            f.read(F.col(f"`{f.key}`") if f.nested else _scalar(F.col("__data"), f.key), strict).alias(f.name)
+            for f in wanted
+        ],
+        *[F.col(f"__keep_{c}").alias(c) for c in keep],
     )
 
 

@@ -79,6 +79,16 @@ def comparable(df: DataFrame, digits: int = 2) -> DataFrame:
     return df.select(*[plain(n, k) for n, k in df.dtypes])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share where the scan yields fewer tasks than cores.
+
+    The test tables are single files of one row group; stored raw tables have
+    many files and pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_envelope(plain: DataFrame, members: dict[str, str | Column], loaded_at: str | None = None) -> DataFrame:
     """Raw envelope rows from plain columns; NULL members are left out of the JSON."""
     body = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(key) for key, c in members.items()])
@@ -92,7 +102,7 @@ def as_envelope(plain: DataFrame, members: dict[str, str | Column], loaded_at: s
         "_sdc_table_version": F.lit(None).cast("bigint"),
     }
     assert list(load) == list(LOAD_COLUMNS)
-    return plain.select(F.to_json(body).alias("data"), *[c.alias(n) for n, c in load.items()])
+    return spread(plain).select(F.to_json(body).alias("data"), *[c.alias(n) for n, c in load.items()])
 
 
 def nulls_last(*columns: str) -> str:
