@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adloom.operators.envelope import LOAD_COLUMNS
+from adloom.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def as_envelope(plain: DataFrame, members: dict[str, str | Column], loaded_at: str | None = None) -> DataFrame:
-    """Raw envelope rows from plain columns; NULL members are left out of the JSON."""
+    """A raw envelope table from plain columns; NULL members are left out of the JSON.
+
+    The rows are staged, as raw data is stored before any model reads it.
+    """
     body = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(key) for key, c in members.items()])
     loaded = F.col(loaded_at) if loaded_at else F.lit("2024-01-01").cast("timestamp")
     load = {
@@ -102,7 +106,8 @@ def as_envelope(plain: DataFrame, members: dict[str, str | Column], loaded_at: s
         "_sdc_table_version": F.lit(None).cast("bigint"),
     }
     assert list(load) == list(LOAD_COLUMNS)
-    return spread(plain).select(F.to_json(body).alias("data"), *[c.alias(n) for n, c in load.items()])
+    raw = spread(plain).select(F.to_json(body).alias("data"), *[c.alias(n) for n, c in load.items()])
+    return stage(raw, "raw")
 
 
 def nulls_last(*columns: str) -> str:

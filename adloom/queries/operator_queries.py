@@ -30,7 +30,7 @@ from adloom.plans import rules
 from adloom.plans.cm360 import exclude_sites
 from adloom.plans.formats import dv360_format, social_format, ttd_format
 from adloom.plans.ga4 import campaign_token, display_source
-from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query
+from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query, spread
 from adloom.sources.staging import stage
 
 # --- pick one ----------------------------------------------------------------
@@ -183,7 +183,7 @@ def _line_actions(t: Tables) -> DataFrame:
     actions = F.when(F.col("l_linenumber") == 1, F.lit(None)).when(
         F.col("l_linenumber") == 2, F.slice(full, 1, 0)
     ).otherwise(full)
-    raw = t.sql(_LINE_ACTIONS).select(
+    raw = spread(t.sql(_LINE_ACTIONS)).select(
         F.to_json(F.struct("l_orderkey", "l_linenumber", actions.alias("actions"))).alias("data")
     )
     array = "json:array<struct<action_type:string,value:string>>"
@@ -249,7 +249,8 @@ def json_nested_flatten(t: Tables) -> DataFrame:
         ),
     )
     targeting = F.when(F.col("l_linenumber") > 1, F.struct(F.when(F.col("l_linenumber") == 2, F.slice(spec, 1, 0)).otherwise(spec).alias("flexible_spec")))
-    raw = t.lineitem.select(
+    lines = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
+    raw = lines.select(
         F.to_json(F.struct(F.col("l_orderkey").cast("string").alias("id"), targeting.alias("targeting"))).alias("data")
     )
     return flatten_names(raw, "id", ["targeting", "flexible_spec"], ["interests", "name"], "names")
