@@ -61,15 +61,12 @@ class Token:
 
 def decode_names(df: DataFrame, spec: dict[str, Token], sep: str = "_") -> DataFrame:
     """Add one column per entry of ``spec``, splitting each coded name once."""
-    sources = sorted({t.source for t in spec.values()})
-    parts = {c: f"__parts_{c}" for c in sources}
-    split = df.withColumns({parts[c]: split_on(F.col(c), sep) for c in sources})
-    return split.withColumns(
-        {
-            out: token_of(F.col(parts[t.source]), t.n, t.min_len, t.default, t.null_default)
-            for out, t in spec.items()
-        }
-    ).drop(*parts.values())
+    parts = {c: f"__parts_{c}" for c in sorted({t.source for t in spec.values()})}
+    split = df.withColumns({p: split_on(F.col(c), sep) for c, p in parts.items()})
+    tokens = {
+        out: token_of(F.col(parts[t.source]), t.n, t.min_len, t.default, t.null_default) for out, t in spec.items()
+    }
+    return split.withColumns(tokens).drop(*parts.values())
 
 
 def token_in(columns: Iterable[Column], vocabulary: Iterable[str], default: str, sep: str = "_") -> Column:

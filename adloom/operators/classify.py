@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -64,23 +62,30 @@ def _columns(condition) -> set[str]:
     return set().union(*(_columns(p) for p in condition.parts))
 
 
-def _compile(condition, folded: dict[str, Column]) -> Column:
+def _compile(condition) -> str:
+    """SQL text of a condition over the lowered copies of its columns."""
     if isinstance(condition, Like):
-        subject = folded[condition.column] if condition.fold else F.col(condition.column)
-        return subject.like(condition.pattern)
+        subject = _lowered(condition.column) if condition.fold else f"`{condition.column}`"
+        return f"{subject} LIKE {_literal(condition.pattern)}"
     if isinstance(condition, No):
-        return ~_compile(condition.part, folded)
-    return reduce(and_ if condition.every else or_, (_compile(p, folded) for p in condition.parts))
+        return f"NOT ({_compile(condition.part)})"
+    joint = " AND " if condition.every else " OR "
+    return "(" + joint.join(_compile(p) for p in condition.parts) + ")"
+
+
+def _lowered(column: str) -> str:
+    return f"`__lower_{column}`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def classify(df: DataFrame, out: str, rules: Sequence[tuple[str, object]], default: Column | str) -> DataFrame:
     """Add ``out``. Each tested column is lowered once per row, not once per rule."""
     tested = sorted(set().union(*(_columns(c) for _, c in rules)))
-    temp = {c: f"__lower_{c}" for c in tested}
-    lowered = df.withColumns({temp[c]: F.lower(c) for c in tested}) if temp else df
-    folded = {c: F.col(t) for c, t in temp.items()}
-    chain = reduce(
-        lambda acc, rule: acc.when(_compile(rule[1], folded), F.lit(rule[0])), rules, F
-    )
+    lowered = df.withColumns({_lowered(c).strip("`"): F.lower(c) for c in tested}) if tested else df
+    arms = " ".join(f"WHEN {_compile(condition)} THEN {_literal(value)}" for value, condition in rules)
     otherwise = default if isinstance(default, Column) else F.lit(default)
-    return lowered.withColumn(out, chain.otherwise(otherwise)).drop(*temp.values())
+    found = F.coalesce(F.expr(f"CASE {arms} END"), otherwise)
+    return lowered.withColumn(out, found).drop(*[_lowered(c).strip("`") for c in tested])

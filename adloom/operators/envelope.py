@@ -65,18 +65,19 @@ def fields(kind: str = "text", /, **key_by_name: str) -> list[Field]:
     return [Field(key, name, kind) for name, key in key_by_name.items()]
 
 
-def _scalar(data: Column, key: str) -> Column:
-    """The parsed member, NULL where the document holds an object or array.
+def _scalar(key: str, name: str) -> str:
+    """SQL text: the parsed member, NULL where the document holds an object or array.
 
     Spark hands out the JSON text of a container read as a string, yet a real
     string may start with a bracket too, so the value's type decides. The second
     look at the document happens only for values with such a leading bracket.
     """
-    value = F.col(f"`{key}`")
-    kind = F.schema_of_variant(F.element_at(F.from_json(data, "map<string,variant>"), key))
-    return F.when(
-        value.startswith("{") | value.startswith("["), F.when(~kind.rlike("^(OBJECT|ARRAY)"), value)
-    ).otherwise(value)
+    value, text = f"`{key}`", key.replace("\\", "\\\\").replace("'", "\\'")
+    kind = f"schema_of_variant(element_at(from_json(__data, 'map<string,variant>'), '{text}'))"
+    return (
+        f"CASE WHEN startswith({value}, '{{') OR startswith({value}, '[') "
+        f"THEN CASE WHEN NOT rlike({kind}, '^(OBJECT|ARRAY)') THEN {value} END ELSE {value} END AS `{name}`"
+    )
 
 
 def parse_envelope(
@@ -88,20 +89,18 @@ def parse_envelope(
 ) -> DataFrame:
     """Parse ``data`` once and return one typed column per field plus ``keep``."""
     schema = ", ".join(f"`{key}` {ddl}" for key, ddl in {f.key: f.ddl for f in wanted}.items())
-    document = df.select(F.col(data).alias("__data"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
+    kept = [f"__keep_{c}" for c in keep]
+    document = df.selectExpr(f"`{data}` AS __data", *[f"`{c}` AS `{k}`" for c, k in zip(keep, kept)])
     # Unpacking the document as a one-element array (always one row) keeps later
     # filters and join conditions above the parse; as a plain projection Spark
     # would copy the parse into every one of them.
-    members = document.select(
-        "__data", *[f"__keep_{c}" for c in keep], F.inline_outer(F.array(F.from_json("__data", schema)))
-    )
-    return members.select(
-        *[
-            f.read(F.col(f"`{f.key}`") if f.nested else _scalar(F.col("__data"), f.key), strict).alias(f.name)
-            for f in wanted
-        ],
-        *[F.col(f"__keep_{c}").alias(c) for c in keep],
+    members = document.select("__data", *kept, F.inline_outer(F.array(F.from_json("__data", schema))))
+    texts = members.selectExpr(
+        *[f"`{f.key}` AS `{f.name}`" if f.nested else _scalar(f.key, f.name) for f in wanted],
+        *[f"`{k}` AS `{c}`" for c, k in zip(keep, kept)],
     )
+    typed = {f.name: f.read(F.col(f.name), strict) for f in wanted if f.kind != "text" and not f.nested}
+    return texts.withColumns(typed) if typed else texts
 
 
 def json_member(data: str, key: str) -> Column:

@@ -31,12 +31,7 @@ MEDIA_CONTRACT = {
 def align(df: DataFrame, contract: dict[str, str], given: dict[str, Column] | None = None) -> DataFrame:
     """Project ``df`` onto the contract; ``given`` overrides or supplies columns."""
     given = given or {}
-    return df.select(
-        *[
-            given.get(name, F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
-            for name, kind in contract.items()
-        ]
-    )
+    return df.select(*[given.get(name, F.col(name)).cast(kind).alias(name) for name, kind in contract.items()])
 
 
 def unify(
@@ -51,7 +46,8 @@ def unify(
     """
     given = given or {}
     for source, df in frames.items():
-        missing = [c for c in contract if c not in df.columns and c not in given.get(source, {})]
+        known = {*df.columns, *given.get(source, {})}
+        missing = [c for c in contract if c not in known]
         if missing:
             raise ValueError(f"{source} lacks {missing}")
     aligned = [align(df, contract, given.get(source)) for source, df in frames.items()]

@@ -22,7 +22,7 @@ def dv360_standard(streams: Streams, label: Label, strict: bool = False) -> Data
     best = pick_one(
         parsed,
         ["date", "campaign_id", "line_item_id", "creative_name"],
-        [F.col("media_cost").desc_nulls_last()],
+        ["media_cost"],
         number_as="row_num",
     )
     formatted = best.withColumn("media_format", dv360_format(F.col("campaign_name")))
@@ -46,7 +46,7 @@ def dv360_youtube(streams: Streams, label: Label, strict: bool = False) -> DataF
     best = pick_one(
         parsed,
         ["date", "campaign_id", "line_item_id", "youtube_ad"],
-        [F.col("media_cost").desc_nulls_last()],
+        ["media_cost"],
     )
     labelled = best.withColumns(
         {

@@ -33,7 +33,7 @@ def insights(raw: DataFrame, strict: bool = False) -> DataFrame:
     latest = pick_one(
         parsed,
         ["account_id", "ad_id", "date_start"],
-        [F.col("_sdc_extracted_at").desc_nulls_last()],
+        ["_sdc_extracted_at"],
     )
 
     def watched(text):
@@ -58,7 +58,7 @@ def insights(raw: DataFrame, strict: bool = False) -> DataFrame:
 def campaigns(raw: DataFrame) -> DataFrame:
     """Latest-starting version of every campaign."""
     parsed = parse_envelope(raw, payloads.FACEBOOK_CAMPAIGNS)
-    return pick_one(parsed, ["campaign_id"], [F.col("start_time").desc_nulls_last()])
+    return pick_one(parsed, ["campaign_id"], ["start_time"])
 
 
 def interests(raw: DataFrame) -> DataFrame:

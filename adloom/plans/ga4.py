@@ -32,7 +32,7 @@ def ga4_goal(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
     latest = pick_one(
         parsed,
         ["date", "sessionSourceMediumraw", "sessionCampaignName", "sessionManualAdContent", "eventName"],
-        [F.col("_sdc_extracted_at").desc_nulls_last()],
+        ["_sdc_extracted_at"],
     )
     named = classify(latest, "site_name", rules.GA4_SITE_NAME, rules.GA4_SITE_NAME_DEFAULT)
     return named.select(

@@ -47,7 +47,7 @@ from adloom.sources.staging import stage
 )
 def dedup_latest(t: Tables) -> DataFrame:
     events = t.events.select("user_id", "event_type", "event_id", "ts", "value")
-    latest = pick_one(events, ["user_id", "event_type"], [F.col("ts").desc_nulls_last()], tie_break=["event_id"])
+    latest = pick_one(events, ["user_id", "event_type"], ["ts"], tie_break=["event_id"])
     return latest.select("user_id", "event_type", "event_id", "value")
 
 
@@ -66,7 +66,7 @@ def dedup_max_metric(t: Tables) -> DataFrame:
     price = F.when(F.col("l_linenumber") != 1, F.col("l_extendedprice"))
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", price.alias("price"))
     return pick_one(
-        rows, ["l_orderkey"], [F.col("price").desc_nulls_last()], tie_break=["l_partkey", "l_linenumber", "l_quantity"]
+        rows, ["l_orderkey"], ["price"], tie_break=["l_partkey", "l_linenumber", "l_quantity"]
     )
 
 
