@@ -8,7 +8,7 @@ from adloom.operators.unify import MEDIA_CONTRACT, unify
 from adloom.plans import dash
 from adloom.plans.labels import MOUNTAIN, TOURISM, Label
 from adloom.plans.runner import run_labels, run_model
-from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query
+from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query, spread
 from adloom.queries.operator_queries import (
     AD_CONTENTS,
     GA4_CAMPAIGNS,
@@ -237,7 +237,7 @@ _DV_ROWS = f"""
 """
 
 
-def _dv360_streams(t: Tables) -> dict[str, DataFrame]:
+def _dv360_streams(t: Tables, report: str = "standard") -> dict[str, DataFrame]:
     rows = t.sql(_DV_ROWS)
     shared = {
         "Advertiser Currency": "currency", "Clicks": "clicks", "Complete Views (Video)": "done", "Date": "day",
@@ -253,10 +253,9 @@ def _dv360_streams(t: Tables) -> dict[str, DataFrame]:
         "Total Conversions": "conversions",
     }
     youtube = {"YouTube Ad": "ad", "YouTube Ad Group": "ad_group", "YouTube Ad Group ID": "ad_group_id"}
-    return {
-        "dv360.standard": as_envelope(rows, shared | standard),
-        "dv360.youtube": as_envelope(rows, shared | youtube),
-    }
+    if report == "youtube":
+        return {"dv360.youtube": as_envelope(rows, shared | youtube)}
+    return {"dv360.standard": as_envelope(rows, shared | standard)}
 
 
 _DV_TYPED = f"""
@@ -322,7 +321,7 @@ _DV_YOUTUBE_PICK = sql_first(
     """,
 )
 def model_dv360_youtube(t: Tables) -> DataFrame:
-    return comparable(run_model("dv360_youtube", "tourism", Streams(t.spark, given=_dv360_streams(t))))
+    return comparable(run_model("dv360_youtube", "tourism", Streams(t.spark, given=_dv360_streams(t, "youtube"))))
 
 
 # --- CM360 -------------------------------------------------------------------
@@ -854,22 +853,32 @@ _SQL_MOUNTAIN = " UNION ALL ".join(
 )
 
 
-def _all_streams(t: Tables) -> Streams:
-    given = {
-        **_facebook_streams(t), **_dv360_streams(t), **_cm360_streams(t), **_ttd_streams(t), **_tiktok_streams(t),
-        **_hivestack_streams(t), **_google_streams(t), "publisher_channel": stage(t.sql(_LOOKUP), "publisher_channel"),
-    }
+_BUILDERS = {
+    "facebook": _facebook_streams,
+    "dv360_standard": _dv360_streams,
+    "cm360_direct_buy": _cm360_streams,
+    "ttd_transformed": _ttd_streams,
+    "tiktok": _tiktok_streams,
+    "hivestack": _hivestack_streams,
+    "google_ads_display": _google_streams,
+}
+
+
+def _media_streams(t: Tables, label: Label) -> Streams:
+    given = {"publisher_channel": stage(t.sql(_LOOKUP), "publisher_channel")}
+    for source in label.media_sources:
+        given |= _BUILDERS[source](t)
     return Streams(t.spark, given=given)
 
 
 @query("model_dash_table", f"WITH facts AS ({_SQL_TOURISM}) {_sql_labelled('facts')}")
 def model_dash_table(t: Tables) -> DataFrame:
-    return comparable(run_model("dash_table", _label(TOURISM), _all_streams(t)))
+    return comparable(run_model("dash_table", _label(TOURISM), _media_streams(t, TOURISM)))
 
 
 @query("model_dash_table_mountain", f"WITH facts AS ({_SQL_MOUNTAIN}) {_sql_labelled('facts')}")
 def model_dash_table_mountain(t: Tables) -> DataFrame:
-    return comparable(run_model("dash_table", _label(MOUNTAIN), _all_streams(t)))
+    return comparable(run_model("dash_table", _label(MOUNTAIN), _media_streams(t, MOUNTAIN)))
 
 
 @query(
@@ -937,7 +946,7 @@ _UNIFIED = {
 )
 def dash_unified(t: Tables) -> DataFrame:
     """Three sources, zero-filled union, lookup, canonical campaign, media format."""
-    frames = {name: t.sql(sql) for name, sql in _UNIFIED.items()}
+    frames = {name: spread(t.sql(sql)) for name, sql in _UNIFIED.items()}
     facts = unify(frames, given={name: {c: F.lit(0) for c in _NO_VIDEO} for name in frames})
     lookup = stage(t.sql(_LOOKUP), "publisher_channel")
     return comparable(dash.label_facts(facts, lookup))
