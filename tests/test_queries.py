@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from adloom.queries import base
 from compare import difference, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {name: build for name, build in entry.queries().items() if name in base.QUERIES}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in base.ORACLES}
 
 
 @pytest.fixture(scope="module")
