@@ -385,12 +385,10 @@ def keep_first(
     """``docs`` with one document of each group of near duplicates, that of the smallest id; empty texts all stay."""
     key = spare_name(docs, "_key")
     found = _components(docs, doc_id, text, size, percent, block)
-    kept = found.where(F.col("component").isNull() | F.col("first")).select(F.col("k").alias(key)).distinct()
-    keyed = docs.withColumn(key, row_key(doc_id, text))
-    nonempty = keyed.join(kept, key, "left_semi")
-    order = Window.partitionBy(key).orderBy(F.lit(1))  # equal id and text: repeated rows
-    empty = F.coalesce(F.trim(text), F.lit("")) == ""
-    return nonempty.withColumn("_n", F.when(empty, 1).otherwise(F.row_number().over(order))).where("_n = 1").drop("_n", key)
+    kept = found.where("first").select(F.col("k").alias(key)).distinct()
+    has_words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    chosen = docs.where(has_words).withColumn(key, row_key(doc_id, text)).join(kept, key, "left_semi")
+    return chosen.dropDuplicates([key]).drop(key).unionByName(docs.where(~has_words))
 
 
 def _components(docs, doc_id, text, size, percent, block) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adloom.llm import curves, decontaminate, ftrl, html_blocks, line_spread, mil, ngram_join, pieces, warc
+from adloom.llm import curves, decontaminate, ftrl, html_blocks, line_spread, mil, ngram_join, pieces, suffixes, warc
 from adloom.llm.workspace import importable
 
 
@@ -67,10 +67,20 @@ def op8_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,7 +92,9 @@ QUERIES = {
         op6_toxicity_ftrl,
         op7_decontaminate_templates,
         op8_sentencepiece_viterbi,
+        op9_suffix_dedup,
         op10_ngram_jaccard,
+        pipeline,
     )
 }
 
