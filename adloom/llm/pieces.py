@@ -26,6 +26,7 @@ escapes spaces this way. Extra columns are carried through.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,10 @@ from adloom.llm.words import slices
 
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Stretches and pairs that a task remembers at most.
-REMEMBERED = 200_000
+#: Stretches, and pairs of pieces, that a worker remembers at most: about 200 bytes each.
+REMEMBERED = 1_000_000
+#: Stretches of up to this many characters are one window.
+SHORT = 64
 
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -89,9 +92,10 @@ class Remembered(dict):
 class Codec:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.whole = Remembered(lambda piece: self.merged(piece) == [piece])
-        self.apart = Remembered(lambda pair: self.merged(pair[0] + pair[1]) == [pair[0], pair[1]])
-        self.stretches = Remembered(lambda text: np.array(self.stream(text), np.int32).tobytes())
+        self.whole = {} if vocabulary.unigram else {p: s for p, s in vocabulary.scores.items() if self.merged(p) == [p]}
+        self.apart: dict[str, dict[str, bool]] = defaultdict(dict)
+        self.pairs = 0
+        self.stretches = Remembered(lambda text: np.array(self.stretch(text), np.int32).tobytes())
 
     # --- encoding
 
@@ -117,6 +121,53 @@ class Codec:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def stay_apart(self, a: str, b: str) -> bool:
+        """Whether merging a + b alone gives a and b: the two are whole, so it does unless a merge crosses between them."""
+        self.pairs += 1
+        if self.pairs > REMEMBERED:
+            self.apart.clear()
+            self.pairs = 0
+        parts, scores, border = list(a + b), self.v.scores, len(a)
+        while True:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                score = scores.get(parts[i] + parts[i + 1])
+                if score is not None and (best is None or score > best):
+                    best, at = score, i
+            if at < 0 or at == border - 1:
+                self.apart[a][b] = found = at < 0
+                return found
+            border -= at < border
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def stretch(self, text: str) -> list[int]:
+        """Ids of a stretch; a short one fits a window, so it needs no committing on the way."""
+        if self.v.unigram or len(text) > SHORT:
+            return self.stream(text)
+        whole, apart, longest = self.whole, self.apart, self.v.longest
+        before: list[str | None] = [None]
+        for end in range(1, len(text) + 1):
+            best = None
+            for begin in range(end - 1, max(-1, end - longest - 1), -1):
+                piece = text[begin:end]
+                if piece not in whole and begin != end - 1:
+                    continue
+                last = before[begin]
+                if last is not None:
+                    fits = apart[last].get(piece)
+                    if fits is None:
+                        fits = self.stay_apart(last, piece)
+                    if not fits:
+                        continue
+                elif begin:
+                    continue
+                best = piece
+                break
+            before.append(best)
+        out: list[int] = []
+        self.flush(out, before, len(text), 0)
+        return out
+
     def stream(self, text: str) -> list[int]:
         """Ids of ``text``, committing whenever the surviving paths have converged."""
         v, longest, out = self.v, self.v.longest, []
@@ -141,9 +192,14 @@ class Codec:
                 last = before[end - size - base]
                 if last is None and (end - size != base or base and out):
                     continue
-                if (size == 1 or whole[piece]) and (last is None or apart[(last, piece)]):
-                    best = piece
-                    break
+                if size > 1 and piece not in whole:
+                    continue
+                if last is not None:
+                    fits = apart[last].get(piece)
+                    if not (self.stay_apart(last, piece) if fits is None else fits):
+                        continue
+                best = piece
+                break
             before.append(best)
             total.append(best_total)
             if end - base >= check:
