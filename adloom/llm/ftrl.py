@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from adloom.llm.sampling import labelled
 from adloom.llm.words import NOT_ALNUM, mix, slices, word_hashes
 
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
@@ -39,6 +40,10 @@ class Settings:
     rows: int = 12000
     threshold: float = 0.3
 
+    def penalty(self, rows: int) -> float:
+        """The L1 term for a sample of this size: sums of gradients grow with its root."""
+        return self.l1 * min(1.0, float(np.sqrt(rows / self.rows)))
+
 
 def coordinates(words: np.ndarray, bits: int) -> np.ndarray:
     """All coordinates of a run of words: words, pairs, and pairs with one word between."""
@@ -88,7 +93,7 @@ class Model:
 def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
     """FTRL-proximal, one document at a time; coordinate 2^bits is the intercept, which has no L1 term."""
     size = 1 << s.bits
-    l1 = s.l1 * min(1.0, np.sqrt(len(samples) / s.rows))  # sums of gradients grow with the root of the sample
+    l1 = s.penalty(len(samples))
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weight(at: np.ndarray) -> np.ndarray:
@@ -97,7 +102,7 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
         w = -(zs - np.sign(zs) * pull) / ((s.beta + np.sqrt(n[at])) / s.alpha + s.l2)
         return np.where(np.abs(zs) <= pull, 0.0, w)
 
-    samples = [np.append(np.unique(x), size) for x in samples]
+    samples = [np.append(np.unique(x), np.int32(size)).astype(np.int32) for x in samples]
     for step in range(s.passes):
         for i in np.random.default_rng(step).permutation(len(samples)):
             at = samples[i]
@@ -114,11 +119,8 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, s: Settings = Settings()) -> Model:
-    """Fit on the rows of ``docs`` that ``learn_from`` admits and ``labels`` (doc_id, label) knows."""
-    known = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    rows = docs.where(learn_from).select("doc_id", "text").join(known, "doc_id")
-    order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    chosen = rows.orderBy(order, "doc_id").limit(s.rows)
+    """Fit on documents that ``labels`` (doc_id, label) knows and ``learn_from``, a condition on doc_id, admits."""
+    chosen = labelled(docs, labels, label, learn_from, s.rows)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,10 +132,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, s:
                 )
 
     learned = chosen.mapInArrow(featurise, "doc_id long, y int, at array<int>").toArrow()
-    order_ = np.argsort(learned["doc_id"].to_numpy())
+    ids, labels = learned["doc_id"].to_numpy(), learned["y"].to_numpy().astype(float)
     at = learned["at"].combine_chunks()
     flat, starts = at.values.to_numpy(zero_copy_only=False), at.offsets.to_numpy()
-    return fit([flat[starts[i] : starts[i + 1]] for i in order_], learned["y"].to_numpy()[order_].astype(float), s)
+    # A gradient is less than 1, so a coordinate met too rarely to add up to the L1 term keeps a weight of zero.
+    often = np.bincount(flat, minlength=1) * s.passes > s.penalty(len(ids))
+    kept = often[flat]
+    flat, starts = flat[kept], np.concatenate([[0], np.cumsum(kept)])[starts]
+    order = np.argsort(ids)
+    return fit([flat[starts[i] : starts[i + 1]] for i in order], labels[order], s)
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:

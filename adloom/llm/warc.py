@@ -24,6 +24,7 @@ import zstandard
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from adloom.llm.sampling import smallest
 from adloom.llm.workspace import Workspace
 
 #: Fixed values of the formats.
@@ -152,13 +153,15 @@ def _open_folder(uri: str):
 # --- Spark ----------------------------------------------------------------------
 
 
-def train_dictionary(pages: DataFrame, payload: str, samples: int = 256, sample_bytes: int = 16384, size: int = 32768) -> bytes | None:
+def train_dictionary(
+    pages: DataFrame, page_id: str, url: str, payload: str, samples: int = 200, sample_bytes: int = 8192, size: int = 32768
+) -> bytes | None:
     """A dictionary from at most ``samples`` payloads, at most ``sample_bytes`` of each; None if they are too few.
 
     It changes the size of the archives only.
     """
-    some = pages.select(F.substring(F.col(payload), 1, sample_bytes).alias("t"), F.xxhash64(payload).alias("h"))
-    texts = [r.t.encode() for r in some.where(F.length("t") > 0).orderBy("h").limit(samples).collect()]
+    some = smallest(pages.where(F.length(payload) > 0), F.xxhash64(page_id, url), samples)
+    texts = [r.t.encode() for r in some.select(F.substring(F.col(payload), 1, sample_bytes).alias("t")).collect()]
     try:
         return zstandard.train_dictionary(size, texts).as_bytes()
     except zstandard.ZstdError:
@@ -201,7 +204,7 @@ def write_archives(
     A task that is run again writes new files, and only the files named in the
     rows of its successful run count.
     """
-    head = archive_head(dictionary := train_dictionary(pages, payload))
+    head = archive_head(dictionary := train_dictionary(pages, page_id, url, payload))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         known = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
