@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from adloom.sources.staging import stage
@@ -23,14 +25,22 @@ def spelling_map(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def canonical_spelling(df: DataFrame, col: str, out: str, trim: bool = False) -> DataFrame:
+def canonical_spelling(
+    df: DataFrame,
+    col: str,
+    out: str,
+    trim: bool = False,
+    store: Callable[[DataFrame, str], DataFrame] = stage,
+    names: DataFrame | None = None,
+) -> DataFrame:
     """Add ``out``: ``col`` with every spelling replaced by the smallest one that differs only in case.
 
     The map of multiply spelled names is written out first. Spark then knows its
     real size and broadcasts it below the broadcast threshold, or shuffles (and
-    splits hot names) above it.
+    splits hot names) above it. ``names`` may give the rows that hold the names
+    where that is cheaper than computing ``df`` a second time.
     """
-    spellings = stage(spelling_map(df, col), "spellings")
+    spellings = store(spelling_map(df if names is None else names, col), "spellings")
     matched = df.join(spellings, F.lower(col) == F.col("__folded"), "left")
     chosen = F.coalesce("__canonical", F.col(col))
     return matched.withColumn(out, F.trim(chosen) if trim else chosen).drop("__folded", "__canonical")

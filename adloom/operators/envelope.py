@@ -20,6 +20,9 @@ LOAD_COLUMNS = {
     "_sdc_table_version": "bigint",
 }
 
+# The later load wins where nothing reported decides.
+LATEST = ("_sdc_extracted_at", "_sdc_sequence")
+
 # How each kind turns the JSON text into its column.
 _READERS = {
     "text": lambda x, strict: x,
@@ -36,11 +39,15 @@ class Field:
 
     ``kind`` is a reader name, ``date:<spelling>``, ``iso_text:<spelling>`` (a
     date written back as ``yyyy-MM-dd`` text) or ``json:<type>`` for nested data.
+
+    ``mode`` says what happens to text that does not parse: ``run`` follows the
+    run (NULL, or an error in a strict one), ``safe`` is always NULL.
     """
 
     key: str
     name: str
     kind: str = "text"
+    mode: str = "run"
 
     @property
     def nested(self) -> bool:
@@ -53,6 +60,7 @@ class Field:
     def read(self, value: Column, strict: bool) -> Column:
         if self.nested:
             return value
+        strict = strict and self.mode != "safe"
         if ":" in self.kind:
             kind, spelling = self.kind.split(":")
             day = casts.to_date(value, spelling, strict)
@@ -60,9 +68,9 @@ class Field:
         return _READERS[self.kind](value, strict)
 
 
-def fields(kind: str = "text", /, **key_by_name: str) -> list[Field]:
-    """Fields of one kind, as ``name="JSON key"``."""
-    return [Field(key, name, kind) for name, key in key_by_name.items()]
+def fields(kind: str = "text", mode: str = "run", /, **key_by_name: str) -> list[Field]:
+    """Fields of one kind and mode, as ``name="JSON key"``."""
+    return [Field(key, name, kind, mode) for name, key in key_by_name.items()]
 
 
 def _scalar(key: str, name: str) -> str:
@@ -86,23 +94,73 @@ def parse_envelope(
     keep: Sequence[str] = (),
     strict: bool = False,
     data: str = "data",
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Parse ``data`` once and return one typed column per field plus ``keep``.
+
+    ``keys`` are the columns that will tell rows apart. A key that is NULL
+    because its text does not parse would merge rows that have nothing in
+    common, so such rows are left out, as are rows whose document does not
+    parse; ``rejects`` returns them. A strict run stops at them instead.
+    """
+    parsed = _parse(df, wanted, keep, strict, data, keys)
+    reason = _reason(wanted, keys)
+    if strict:
+        stop = F.raise_error(F.concat(F.lit("rejected row: "), reason)).cast("boolean")
+        good = parsed.where(F.when(reason.isNotNull(), stop).otherwise(True))
+    else:
+        good = parsed.where(reason.isNull())
+    return good.select(*[f.name for f in wanted], *keep)
+
+
+def rejects(
+    df: DataFrame, wanted: Sequence[Field], keep: Sequence[str] = (), data: str = "data", keys: Sequence[str] = ()
+) -> DataFrame:
+    """The rows that ``parse_envelope`` leaves out: ``reason``, the raw document and ``keep``."""
+    parsed = _parse(df, wanted, keep, False, data, keys)
+    return parsed.select(_reason(wanted, keys).alias("reason"), F.col("__data").alias(data), *keep).where("reason IS NOT NULL")
+
+
+def _typed_keys(wanted: Sequence[Field], keys: Sequence[str]) -> list[Field]:
+    return [f for f in wanted if f.name in keys and f.kind != "text"]
+
+
+def _reason(wanted: Sequence[Field], keys: Sequence[str]) -> Column:
+    """Why a parsed row is rejected, or NULL."""
+    arms = F.when(F.col("__data").isNull(), "no document").when(F.col("__corrupt").isNotNull(), "malformed document")
+    for f in _typed_keys(wanted, keys):
+        arms = arms.when(F.col(f"__text_{f.name}").isNotNull() & F.col(f.name).isNull(), f"{f.key} does not parse")
+    return arms
+
+
+def _parse(
+    df: DataFrame, wanted: Sequence[Field], keep: Sequence[str], strict: bool, data: str, keys: Sequence[str]
 ) -> DataFrame:
-    """Parse ``data`` once and return one typed column per field plus ``keep``."""
-    schema = ", ".join(f"`{key}` {ddl}" for key, ddl in {f.key: f.ddl for f in wanted}.items())
+    """``__data``, ``__corrupt`` (set if the document does not parse), one typed column per field, ``__text_<name>`` of every typed key, and ``keep``."""
+    schema = ", ".join(f"`{key}` {ddl}" for key, ddl in {f.key: f.ddl for f in wanted}.items()) + ", __corrupt string"
+    corrupt = {"columnNameOfCorruptRecord": "__corrupt"}
     kept = [f"__keep_{c}" for c in keep]
     document = df.selectExpr(f"`{data}` AS __data", *[f"`{c}` AS `{k}`" for c, k in zip(keep, kept)])
     # Unpacking the document as a one-element array (always one row) keeps later
     # filters and join conditions above the parse; as a plain projection Spark
     # would copy the parse into every one of them.
-    members = document.select("__data", *kept, F.inline_outer(F.array(F.from_json("__data", schema))))
+    members = document.select("__data", *kept, F.inline_outer(F.array(F.from_json("__data", schema, corrupt))))
     texts = members.selectExpr(
+        "__data",
+        "__corrupt",
         *[f"`{f.key}` AS `{f.name}`" if f.nested else _scalar(f.key, f.name) for f in wanted],
         *[f"`{k}` AS `{c}`" for c, k in zip(keep, kept)],
     )
-    typed = {f.name: f.read(F.col(f.name), strict) for f in wanted if f.kind != "text" and not f.nested}
+    typed = {f"__text_{f.name}": F.col(f.name) for f in _typed_keys(wanted, keys)}
+    typed |= {f.name: f.read(F.col(f.name), strict) for f in wanted if f.kind != "text" and not f.nested}
     return texts.withColumns(typed) if typed else texts
 
 
+def _container(value: Column) -> Column:
+    """Whether a variant is an object or array; NULL counts as none."""
+    return F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+
+
 def json_member(data: str, key: str) -> Column:
     """One scalar member of an envelope, for filters that run before the full parse."""
     return F.from_json(data, T.StructType().add(key, T.StringType())).getField(key)
@@ -124,7 +182,7 @@ def flatten_names(
     empty or missing array give nothing.
     """
     *inner_array, leaf = inner_path
-    inner: T.DataType = T.ArrayType(T.StructType().add(leaf, T.StringType()))
+    inner: T.DataType = T.ArrayType(T.StructType().add(leaf, T.VariantType()))
     for step in reversed(inner_array):
         inner = T.StructType().add(step, inner)
     outer: T.DataType = T.ArrayType(inner)
@@ -136,11 +194,12 @@ def flatten_names(
     doc = F.from_json(data, schema)
     items = reduce(lambda c, step: c.getField(step), outer_path, F.col("__json"))
     names = reduce(lambda c, step: c.getField(step), inner_array, F.col("__item"))
+    element = F.col("__inner").getField(leaf)
     exploded = (
         df.select(doc.alias("__json"))
         .select(F.col("__json").getField(key).alias(key), F.explode(items).alias("__item"))
         .select(key, F.explode(names).alias("__inner"))
-        .select(key, F.col("__inner").getField(leaf).alias(out))
+        .select(key, F.when(~_container(element), element.cast("string")).alias(out))
     )
     # Reloads repeat every row: reduce to distinct pairs first, so no group
     # carries its repeats into the join of names.

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 
-def lookup_ci(df: DataFrame, lookup: DataFrame, key: str, keep: str = "fact") -> DataFrame:
+def lookup_ci(
+    df: DataFrame, lookup: DataFrame, key: str, keep: str = "fact", replaced: Sequence[str] = ("channel",)
+) -> DataFrame:
     """Inner join on ``lower(key)``.
 
     Rows without a lookup entry go, doubled lookup rows multiply. ``keep`` says
     whose spelling of the key survives: ``fact`` or ``lookup``. A fact column
-    that the lookup also has (other than the key) is taken from the lookup. No
-    broadcast hint: the lookup is a stored table whose size Spark reads from its
+    named in ``replaced`` is taken from the lookup; any other column that both have
+    is an error, so a lookup never overwrites facts. No broadcast hint: the lookup is a stored table whose size Spark reads from its
     files, so it is broadcast while small and shuffled otherwise.
     """
     extra = [c for c in lookup.columns if c != key]
+    clash = sorted({*df.columns} & {*extra} - {*replaced})
+    if clash:
+        raise ValueError(f"the lookup would overwrite {clash}")
     facts = df.drop(*extra)
     side = lookup.select(F.col(key).alias("__lookup_key"), *extra)
     joined = facts.join(side, F.lower(key) == F.lower("__lookup_key"), "inner")

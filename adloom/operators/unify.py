@@ -27,6 +27,9 @@ MEDIA_CONTRACT = {
     "date": "date",
 }
 
+# For labels whose sources all count video in whole numbers.
+WHOLE_VIDEO_CONTRACT = {name: "bigint" if name.startswith("video_") else kind for name, kind in MEDIA_CONTRACT.items()}
+
 
 def align(df: DataFrame, contract: dict[str, str], given: dict[str, Column] | None = None) -> DataFrame:
     """Project ``df`` onto the contract; ``given`` overrides or supplies columns."""

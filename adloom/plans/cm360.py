@@ -7,25 +7,23 @@ from pyspark.sql import DataFrame, functions as F
 from adloom.functions.names import Token, decode_names, initcap_punct, regex_first, token
 from adloom.operators.classify import classify
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import json_member, parse_envelope
+from adloom.operators.envelope import LATEST, Field
 from adloom.plans import rules
 from adloom.plans.labels import Label
 from adloom.sources import payloads
 from adloom.sources.streams import Streams
 
-_KEYS = [f.name for f in payloads.CM360_ATTRIBUTES]
+KEYS = [f.name for f in payloads.CM360_ATTRIBUTES]
 
 
-def _of_advertiser(streams: Streams, label: Label) -> DataFrame:
-    report = streams.read("cm360.report", label.name)
-    return report.where(json_member("data", "advertiser") == label.account("cm360_advertiser"))
+def _rows(streams: Streams, label: Label, wanted: list[Field], strict: bool) -> DataFrame:
+    advertiser = label.account("cm360_advertiser")
+    return streams.rows("cm360.report", label.name, wanted, KEYS, strict, day="date", advertiser=advertiser)
 
 
 def cm360_serialised(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    parsed = parse_envelope(
-        _of_advertiser(streams, label), payloads.CM360_ATTRIBUTES + payloads.CM360_METRICS, strict=strict
-    )
-    return pick_one(parsed, _KEYS, number_as="row_num")
+    parsed = _rows(streams, label, payloads.CM360_ATTRIBUTES + payloads.CM360_METRICS, strict)
+    return pick_one(parsed, KEYS, LATEST, number_as="row_num").drop(*LATEST)
 
 
 def exclude_sites(df: DataFrame, col: str, sites: list[str]) -> DataFrame:
@@ -34,14 +32,11 @@ def exclude_sites(df: DataFrame, col: str, sites: list[str]) -> DataFrame:
 
 
 def cm360_direct_buy(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    parsed = parse_envelope(
-        _of_advertiser(streams, label),
-        payloads.CM360_ATTRIBUTES + payloads.CM360_METRICS + payloads.CM360_SITE,
-        strict=strict,
-    )
+    parsed = _rows(streams, label, payloads.CM360_ATTRIBUTES + payloads.CM360_METRICS + payloads.CM360_SITE, strict)
     bought = exclude_sites(parsed, "site_name", rules.CM360_EXCLUDED_SITES)
     # The site is no key though it drives the labels: it settles ties.
-    picked = pick_one(bought, _KEYS, tie_break=["site_name", "clicks", "impressions"], number_as="row_num")
+    picked = pick_one(bought, KEYS, LATEST, tie_break=["site_name", "clicks", "impressions"], number_as="row_num")
+    picked = picked.drop(*LATEST)
 
     first_word = initcap_punct(token(F.col("site_name"), 0, sep=" "))
     medium = token(regex_first(F.col("click_through_url"), "utm_medium=([^&]+)"), 1, sep="-")

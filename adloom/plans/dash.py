@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,9 +11,10 @@ from adloom.functions.names import join_array, token_in
 from adloom.operators.canonical import canonical_spelling
 from adloom.operators.classify import classify
 from adloom.operators.lookup import lookup_ci
-from adloom.operators.unify import unify
+from adloom.operators.unify import MEDIA_CONTRACT, unify
 from adloom.plans import rules
 from adloom.plans.ga4 import campaign_token
+from adloom.sources.staging import stage
 
 
 def _no_video() -> dict[str, Column]:
@@ -21,9 +22,9 @@ def _no_video() -> dict[str, Column]:
     return {name: F.lit(0) for name in names}
 
 
-def source_columns() -> dict[str, dict[str, Column]]:
+def source_columns(strict: bool = False) -> dict[str, dict[str, Column]]:
     """Per source: contract columns that are renamed, joined or filled with zero."""
-    day = {"date": day_of(F.col("date"))}
+    day = {"date": day_of(F.col("date"), strict)}
     return {
         "facebook": {"video_views": F.col("video_played"), **day},
         # DV360 reports no views: the first quartile stands in.
@@ -53,25 +54,36 @@ def media_format(df: DataFrame) -> Column:
     return token_in([F.col("creative_name"), F.col("campaign_name")], rules.MEDIA_VOCABULARY, "Other")
 
 
-def label_facts(facts: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Channel, canonical campaign and media format for already unified facts."""
+def label_facts(
+    facts: DataFrame, lookup: DataFrame, store: Callable[[DataFrame, str], DataFrame] = stage
+) -> DataFrame:
+    """Channel, canonical campaign and media format for already unified (and stored) facts."""
     channelled = lookup_ci(facts, lookup, "publisher", keep="fact")
     coded = channelled.withColumn("__campaign", campaign_token(F.col("campaign_name")))
-    named = canonical_spelling(coded, "__campaign", "campaign_name_selection", trim=True).drop("__campaign")
+    # The spellings need two columns, each pair once; unmapped publishers don't count.
+    pairs = lookup_ci(facts.select("campaign_name", "publisher").distinct(), lookup, "publisher", keep="fact")
+    names = pairs.select(campaign_token(F.col("campaign_name")).alias("__campaign"))
+    named = canonical_spelling(coded, "__campaign", "campaign_name_selection", True, store, names).drop("__campaign")
     formatted = named.withColumn("media_format", media_format(named))
     last = ["publisher", "channel", "campaign_name_selection", "media_format"]
     return formatted.select(*[c for c in formatted.columns if c not in last], *last)
 
 
-def dash_table(models: Mapping[str, DataFrame], lookup: DataFrame) -> DataFrame:
-    """Unified media table of one label; ``models`` maps source names to their (stored) models.
+def dash_table(
+    models: Mapping[str, DataFrame],
+    lookup: DataFrame,
+    contract: Mapping[str, str] = MEDIA_CONTRACT,
+    strict: bool = False,
+    store: Callable[[DataFrame, str], DataFrame] = stage,
+) -> DataFrame:
+    """Unified media table of one label; ``models`` maps source names to their models.
 
-    The facts are read twice: once in full and once, campaign and publisher
-    columns only, for the spellings. Pass stored tables, not unevaluated plans.
+    The unified facts are stored once, as they are read twice: in full, and
+    campaign and publisher only for the spellings.
     """
-    given = source_columns()
-    facts = unify(dict(models), given={source: given.get(source, {}) for source in models})
-    return label_facts(facts, lookup)
+    given = source_columns(strict)
+    facts = unify(dict(models), dict(contract), {source: given.get(source, {}) for source in models})
+    return label_facts(store(facts, "facts"), lookup, store)
 
 
 def dash_table_search(search: DataFrame, lookup: DataFrame) -> DataFrame:

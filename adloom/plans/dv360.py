@@ -7,24 +7,26 @@ from pyspark.sql import DataFrame, functions as F
 from adloom.functions.names import Token, decode_names, regex_first
 from adloom.operators.classify import classify
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import parse_envelope
+from adloom.operators.envelope import LATEST
 from adloom.plans import rules
 from adloom.plans.formats import dv360_format
 from adloom.plans.labels import Label
 from adloom.sources import payloads
 from adloom.sources.streams import Streams
 
+# Fixed value: the platform in a coded line item name.
 PLATFORM = "PLATFORM_([^_]+)"
 
 
 def dv360_standard(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    parsed = parse_envelope(streams.read("dv360.standard", label.name), payloads.DV360_STANDARD, strict=strict)
+    keys = ["date", "campaign_id", "line_item_id", "creative_name"]
+    parsed = streams.rows("dv360.standard", label.name, payloads.DV360_STANDARD, keys, strict, day="date")
     best = pick_one(
         parsed,
-        ["date", "campaign_id", "line_item_id", "creative_name"],
-        ["media_cost"],
+        keys,
+        ["media_cost", *LATEST],
         number_as="row_num",
-    )
+    ).drop(*LATEST)
     formatted = best.withColumn("media_format", dv360_format(F.col("campaign_name")))
     published = classify(formatted, "publisher", rules.DV360_PUBLISHER, rules.DV360_PUBLISHER_DEFAULT)
     constant = published.withColumns({c: F.lit("No Valid") for c in ("creative_descr", "ad_format", "ad_format_detail")})
@@ -42,12 +44,13 @@ def dv360_standard(streams: Streams, label: Label, strict: bool = False) -> Data
 
 
 def dv360_youtube(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    parsed = parse_envelope(streams.read("dv360.youtube", label.name), payloads.DV360_YOUTUBE, strict=strict)
+    keys = ["date", "campaign_id", "line_item_id", "youtube_ad"]
+    parsed = streams.rows("dv360.youtube", label.name, payloads.DV360_YOUTUBE, keys, strict, day="date")
     best = pick_one(
         parsed,
-        ["date", "campaign_id", "line_item_id", "youtube_ad"],
-        ["media_cost"],
-    )
+        keys,
+        ["media_cost", *LATEST],
+    ).drop(*LATEST)
     labelled = best.withColumns(
         {
             "audience_name": regex_first(F.col("line_item"), PLATFORM),

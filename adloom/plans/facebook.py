@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from adloom.functions.json_arrays import json_first, json_first_match, json_integer, json_last
 from adloom.functions.names import Token, decode_names
 from adloom.operators.arrays import distinct_array
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import flatten_names, parse_envelope
+from adloom.operators.envelope import LATEST, flatten_names
 from adloom.plans.formats import social_format
 from adloom.plans.labels import Label
 from adloom.sources import payloads
@@ -27,14 +27,11 @@ ACTION_COLUMNS = {
 }
 
 
-def insights(raw: DataFrame, strict: bool = False) -> DataFrame:
+def insights(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
     """Latest load per account, ad and day, summed per ad, campaign and ad set."""
-    parsed = parse_envelope(raw, payloads.FACEBOOK_INSIGHTS, keep=["_sdc_extracted_at"])
-    latest = pick_one(
-        parsed,
-        ["account_id", "ad_id", "date_start"],
-        ["_sdc_extracted_at"],
-    )
+    keys = ["account_id", "ad_id", "date_start"]
+    parsed = streams.rows("facebook.insights", label.name, payloads.FACEBOOK_INSIGHTS, keys, strict, day="date_start")
+    latest = pick_one(parsed, keys, LATEST)
 
     def watched(text):
         return text.cast("bigint") if strict else text.try_cast("bigint")
@@ -55,9 +52,9 @@ def insights(raw: DataFrame, strict: bool = False) -> DataFrame:
     return per_ad.groupBy(*_AD_DAY).agg(*[F.sum(n).alias(n) for n in metrics])
 
 
-def campaigns(raw: DataFrame) -> DataFrame:
+def campaigns(streams: Streams, label: Label) -> DataFrame:
     """Latest-starting version of every campaign."""
-    parsed = parse_envelope(raw, payloads.FACEBOOK_CAMPAIGNS)
+    parsed = streams.rows("facebook.campaigns", label.name, payloads.FACEBOOK_CAMPAIGNS, keep=())
     return pick_one(parsed, ["campaign_id"], ["start_time"])
 
 
@@ -68,12 +65,15 @@ def interests(raw: DataFrame) -> DataFrame:
     ).withColumnRenamed("id", "ad_id")
 
 
-def devices(raw: DataFrame) -> DataFrame:
+def device_platform(platform: Column) -> Column:
+    """All mobile platforms are one."""
+    return F.when(platform.startswith("mobile"), F.lit("mobile")).otherwise(platform)
+
+
+def devices(streams: Streams, label: Label) -> DataFrame:
     """Device platforms an ad was delivered to; all mobile ones count as one."""
-    parsed = parse_envelope(raw, payloads.FACEBOOK_DEVICES)
-    platform = F.col("device_platform")
-    plain = F.when(platform.startswith("mobile"), F.lit("mobile")).otherwise(platform)
-    named = parsed.select("ad_id", plain.alias("device_platforms"))
+    parsed = streams.rows("facebook.devices", label.name, payloads.FACEBOOK_DEVICES, keep=())
+    named = parsed.select("ad_id", device_platform(F.col("device_platform")).alias("device_platforms"))
     return distinct_array(named, ["ad_id"], ["device_platforms"])
 
 
@@ -89,10 +89,10 @@ COLUMNS = [
 
 
 def facebook(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    stats = insights(streams.read("facebook.insights", label.name), strict)
-    campaign = campaigns(streams.read("facebook.campaigns", label.name)).withColumnRenamed("campaign_id", "known_campaign")
+    stats = insights(streams, label, strict)
+    campaign = campaigns(streams, label).withColumnRenamed("campaign_id", "known_campaign")
     interest = interests(streams.read("facebook.ads", label.name))
-    device = devices(streams.read("facebook.devices", label.name))
+    device = devices(streams, label)
 
     # Campaigns first: the joins on ad_id then leave the rows partitioned the
     # way the final pick needs them.

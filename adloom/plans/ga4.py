@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adloom.functions.names import initcap_punct, token
 from adloom.operators.canonical import canonical_spelling
 from adloom.operators.classify import classify
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import LOAD_COLUMNS, parse_envelope
+from adloom.operators.envelope import LATEST, LOAD_COLUMNS
 from adloom.plans import rules
 from adloom.plans.labels import Label
 from adloom.sources import payloads
+from adloom.sources.staging import stage
 from adloom.sources.streams import Streams
 
 
@@ -26,14 +29,9 @@ def campaign_token(campaign: Column) -> Column:
 
 
 def ga4_goal(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    parsed = parse_envelope(
-        streams.read("ga4.goal", label.name), payloads.GA4_GOAL, keep=list(LOAD_COLUMNS), strict=False
-    )
-    latest = pick_one(
-        parsed,
-        ["date", "sessionSourceMediumraw", "sessionCampaignName", "sessionManualAdContent", "eventName"],
-        ["_sdc_extracted_at"],
-    )
+    keys = ["date", "sessionSourceMediumraw", "sessionCampaignName", "sessionManualAdContent", "eventName"]
+    parsed = streams.rows("ga4.goal", label.name, payloads.GA4_GOAL, keys, strict, list(LOAD_COLUMNS), day="date")
+    latest = pick_one(parsed, keys, LATEST)
     named = classify(latest, "site_name", rules.GA4_SITE_NAME, rules.GA4_SITE_NAME_DEFAULT)
     return named.select(
         "date",
@@ -45,11 +43,11 @@ def ga4_goal(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
     )
 
 
-def ga4_channel(goal: DataFrame) -> DataFrame:
+def ga4_channel(goal: DataFrame, store: Callable[[DataFrame, str], DataFrame] = stage) -> DataFrame:
     """Channel, publisher and one spelling per campaign on top of the goal model."""
     channelled = classify(goal, "channel", rules.GA4_CHANNEL, rules.GA4_CHANNEL_DEFAULT)
     published = classify(
         channelled, "publisher", rules.GA4_PUBLISHER, initcap_punct(F.col("sessionSourceMedium"))
     )
     coded = published.withColumn("__campaign", campaign_token(F.col("campaign_name")))
-    return canonical_spelling(coded, "__campaign", "campaign_name_selection").drop("__campaign")
+    return canonical_spelling(coded, "__campaign", "campaign_name_selection", store=store).drop("__campaign")

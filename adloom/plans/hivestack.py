@@ -7,15 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from adloom.functions.casts import day_of
 from adloom.functions.names import Token, decode_names, token
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import parse_envelope
+from adloom.operators.envelope import LATEST
 from adloom.plans.labels import Label
 from adloom.sources import payloads
 from adloom.sources.streams import Streams
 
 
 def hivestack(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    parsed = parse_envelope(streams.read("hivestack.report", label.name), payloads.HIVESTACK_REPORT, strict=strict)
-    picked = pick_one(parsed, ["campaign_id", "line_item_id", "date", "creative_name", "plays"])
+    keys = ["campaign_id", "line_item_id", "date", "creative_name", "plays"]
+    parsed = streams.rows("hivestack.report", label.name, payloads.HIVESTACK_REPORT, keys, strict, day="date")
+    picked = pick_one(parsed, keys, LATEST)
     audience = token(F.col("line_item"), 7, min_len=8, default="Other", null_default="Other")
     # Sums of sums are one sum: a single grouping at the reported grain. The
     # other labels follow from the group keys.

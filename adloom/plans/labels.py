@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
+from adloom.operators.unify import MEDIA_CONTRACT, WHOLE_VIDEO_CONTRACT
+
 
 @dataclass(frozen=True)
 class Label:
@@ -13,6 +16,8 @@ class Label:
     # Facebook names that are too short: NULL or "Other".
     facebook_short_name: str | None
     hivestack_media_format: bool
+    # Column types of the unified media table.
+    contract: Mapping[str, str]
     # Deployment settings.
     cm360_advertiser: str | None = None
     display_customer_id: int | None = None
@@ -33,11 +38,13 @@ TOURISM = Label(
     media_sources=("facebook", "dv360_standard", "cm360_direct_buy", "ttd_transformed", "hivestack", "google_ads_display"),
     facebook_short_name=None,
     hivestack_media_format=True,
+    contract=MEDIA_CONTRACT,
 )
 MOUNTAIN = Label(
     name="mountain",
     media_sources=("facebook", "dv360_standard", "cm360_direct_buy", "tiktok", "hivestack"),
     facebook_short_name="Other",
     hivestack_media_format=False,
+    contract=WHOLE_VIDEO_CONTRACT,
 )
 LABELS = {label.name: label for label in (TOURISM, MOUNTAIN)}

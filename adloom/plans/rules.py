@@ -42,31 +42,10 @@ CM360_PUBLISHER = [
 # Sites whose spend arrives through another source.
 CM360_EXCLUDED_SITES = ["the trade desk", "ttd", "facebook", "twitch", "programmatic", "dart", "google ads", "sem"]
 
-# Site patterns of the display rule. The rule is true when at least one of them
-# is absent, so it holds for nearly every site.
-CM360_DISPLAY_SITES = ["dv360", "dv_360", "ttd", "trade", "dart", "programmatic", "adobe", "outbrain", "version"]
-
-# Placement words of the second display rule.
-CM360_DISPLAY_PLACEMENTS = [
-    "homepage", "pagedown", "mobile", "hpto", "interstitial", "pushdown", "direct", "interscroller", "static",
-]
-
 _VIDEO_NAMES = ("campaign_name", "creative_name", "placement", "click_through_url")
 CM360_MEDIA_FORMAT = [
-    (
-        "High Impact Display",
-        every(
-            one_of(*(no(has("site_name", s)) for s in CM360_DISPLAY_SITES)),
-            like("__medium", "%display%"),
-        ),
-    ),
-    (
-        "High Impact Display",
-        every(
-            like("__medium", "%display%"),
-            one_of(*(like("__medium", f"%{w}%") for w in CM360_DISPLAY_PLACEMENTS)),
-        ),
-    ),
+    # A further test on the site holds for every real site, so the medium decides.
+    ("High Impact Display", like("__medium", "%display%")),
     (
         "Social Display",
         every(like("__medium", "%social%"), *(no(has(c, "vid")) for c in _VIDEO_NAMES)),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from adloom.functions.casts import datetime_day
 from adloom.functions.names import Token, decode_names, regex_first
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import parse_envelope
+from adloom.operators.envelope import LATEST
 from adloom.plans.dv360 import PLATFORM
 from adloom.plans.formats import social_format
 from adloom.plans.labels import Label
@@ -21,9 +21,13 @@ _METRICS = [
 
 
 def tiktok(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    basic = pick_one(parse_envelope(streams.read("tiktok.basic", label.name), payloads.TIKTOK_BASIC), ["ad_id", "date"])
-    video = pick_one(parse_envelope(streams.read("tiktok.video", label.name), payloads.TIKTOK_VIDEO), ["ad_id", "date"])
-    ads = parse_envelope(streams.read("tiktok.ads", label.name), payloads.TIKTOK_ADS).distinct()
+    def daily_rows(stream, wanted):
+        parsed = streams.rows(stream, label.name, wanted, ["ad_id", "date"], strict, day="date")
+        return pick_one(parsed, ["ad_id", "date"], LATEST).drop(*LATEST)
+
+    basic = daily_rows("tiktok.basic", payloads.TIKTOK_BASIC)
+    video = daily_rows("tiktok.video", payloads.TIKTOK_VIDEO)
+    ads = streams.rows("tiktok.ads", label.name, payloads.TIKTOK_ADS, strict=strict, keep=()).distinct()
 
     # Both sides are partitioned by (ad_id, date) after the pick, so the join
     # and the grouping need no further shuffle. Days without video rows vanish.

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from adloom.functions.names import Token, decode_names
 from adloom.operators.classify import classify
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import parse_envelope
+from adloom.operators.envelope import LATEST
 from adloom.plans import rules
 from adloom.plans.formats import ttd_format
 from adloom.plans.labels import Label
@@ -52,8 +52,8 @@ def _labels(df: DataFrame) -> DataFrame:
 
 
 def ttd_serialised(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    parsed = parse_envelope(streams.read("ttd.standard", label.name), payloads.TTD_STANDARD, strict=strict)
-    picked = pick_one(parsed, _SERIALISED_KEYS, number_as="row_num")
+    parsed = streams.rows("ttd.standard", label.name, payloads.TTD_STANDARD, _SERIALISED_KEYS, strict, day="date")
+    picked = pick_one(parsed, _SERIALISED_KEYS, LATEST, number_as="row_num").drop(*LATEST)
     return _labels(ttd_format(picked)).select(
         *picked.columns, "publisher", "media_format", "audience_name", "creative_descr", "ad_format_detail",
         "campaign_descr",
@@ -62,8 +62,8 @@ def ttd_serialised(streams: Streams, label: Label, strict: bool = False) -> Data
 
 def ttd_transformed(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
     needed = [f for f in payloads.TTD_STANDARD if f.name in {*_TRANSFORMED_KEYS, *_SUMS}]
-    parsed = parse_envelope(streams.read("ttd.standard", label.name), needed, strict=strict)
-    picked = ttd_format(pick_one(parsed, _TRANSFORMED_KEYS))
+    parsed = streams.rows("ttd.standard", label.name, needed, _TRANSFORMED_KEYS, strict, day="date")
+    picked = ttd_format(pick_one(parsed, _TRANSFORMED_KEYS, LATEST).drop(*LATEST))
     # Only media_format needs the ad group; the other labels follow from group
     # keys, so they are worked out once per result row.
     grouped = picked.groupBy(

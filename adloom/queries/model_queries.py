@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from adloom.operators.unify import MEDIA_CONTRACT, unify
+from adloom.operators.unify import unify
 from adloom.plans import dash
 from adloom.plans.labels import MOUNTAIN, TOURISM, Label
 from adloom.plans.runner import run_labels, run_model
-from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query, spread
+from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query
 from adloom.queries.operator_queries import (
     AD_CONTENTS,
     GA4_CAMPAIGNS,
@@ -56,6 +56,9 @@ def sql_first(rows: str, keys: str, order: str) -> str:
     return f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM {rows}) w WHERE rn = 1)"
 
 
+#: Loads differ per row, and the latest one wins.
+LATEST_FIRST = "loaded DESC NULLS LAST, "
+
 # Coded ad names: long ones, short ones, an empty one and a missing one.
 AD_NAMES = [
     "a_b_c_d_e_Reel_Vid_Winter", "a_b_c_d_e_Still_Disp_Summer", "short_name", "", "a_b_c_d_e_Tile_x_nzme_extra",
@@ -232,6 +235,7 @@ _DV_ROWS = f"""
            CAST(l_linenumber * 2 AS STRING) AS midpoint, CAST(l_discount AS STRING) AS click_conversions, '0' AS view_conversions,
            CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_extendedprice AS STRING) END AS revenue,
            CAST(l_linenumber + 1 AS STRING) AS third_quartile, l_linestatus AS conversions,
+           make_date(2024, 1, CAST(l_linenumber AS INT)) AS loaded,
            {choose("l_partkey", AD_NAMES)} AS ad, 'Group ' || l_returnflag AS ad_group, CAST(l_suppkey % 7 AS STRING) AS ad_group_id
     FROM {{lineitem}}
 """
@@ -254,8 +258,8 @@ def _dv360_streams(t: Tables, report: str = "standard") -> dict[str, DataFrame]:
     }
     youtube = {"YouTube Ad": "ad", "YouTube Ad Group": "ad_group", "YouTube Ad Group ID": "ad_group_id"}
     if report == "youtube":
-        return {"dv360.youtube": as_envelope(rows, shared | youtube)}
-    return {"dv360.standard": as_envelope(rows, shared | standard)}
+        return {"dv360.youtube": as_envelope(rows, shared | youtube, "loaded")}
+    return {"dv360.standard": as_envelope(rows, shared | standard, "loaded")}
 
 
 _DV_TYPED = f"""
@@ -267,7 +271,7 @@ _DV_TYPED = f"""
       CAST(midpoint AS BIGINT) AS video_50_completion, click_conversions AS post_click_conversions,
       view_conversions AS post_view_conversions, CAST(revenue AS DOUBLE) AS media_cost,
       CAST(third_quartile AS BIGINT) AS video_75_completion, conversions AS total_conversions,
-      ad AS youtube_ad, ad_group AS youtube_ad_group, ad_group_id AS youtube_ad_group_id FROM ({_DV_ROWS}) r
+      ad AS youtube_ad, ad_group AS youtube_ad_group, ad_group_id AS youtube_ad_group_id, loaded FROM ({_DV_ROWS}) r
 """
 
 
@@ -275,6 +279,7 @@ _DV_STANDARD_PICK = sql_first(
     f"({_DV_TYPED}) p",
     "date, campaign_id, line_item_id, creative_name",
     "media_cost DESC NULLS LAST, "
+    + LATEST_FIRST
     + nulls_last(
         "advertiser_currency", "cm360_post_click_revenue", "cm360_post_view_revenue", "clicks", "video_completion",
         "video_25_completion", "floodlight_activity_id", "floodlight_activity_name", "impressions", "campaign_name",
@@ -283,7 +288,7 @@ _DV_STANDARD_PICK = sql_first(
     ),
 )
 _SQL_DV_STANDARD = f"""
-    SELECT * EXCLUDE (rn, youtube_ad, youtube_ad_group, youtube_ad_group_id, media_cost), round(media_cost, 2) AS media_cost,
+    SELECT * EXCLUDE (rn, loaded, youtube_ad, youtube_ad_group, youtube_ad_group_id, media_cost), round(media_cost, 2) AS media_cost,
       CAST(1 AS BIGINT) AS row_num, {SQL_DV360_FORMAT} AS media_format, {sql_dv360_publisher()} AS publisher,
       {sql_token("line_item", 7, 8)} AS audience_name, 'No Valid' AS creative_descr, 'No Valid' AS ad_format,
       'No Valid' AS ad_format_detail, {sql_token("campaign_name", 1, 2)} AS campaign_descr
@@ -300,6 +305,7 @@ _DV_YOUTUBE_PICK = sql_first(
     f"({_DV_TYPED}) p",
     "date, campaign_id, line_item_id, youtube_ad",
     "media_cost DESC NULLS LAST, "
+    + LATEST_FIRST
     + nulls_last(
         "advertiser_currency", "clicks", "video_completion", "video_25_completion", "impressions", "campaign_name",
         "campaign_status", "line_item", "video_50_completion", "video_75_completion", "youtube_ad_group",
@@ -335,11 +341,12 @@ _CM_ROWS = f"""
            CAST(l_suppkey % 2 AS STRING) AS advertiser_id, CAST(make_date(year(l_shipdate), 12, 31) AS STRING) AS campaign_end_date,
            CAST(l_suppkey % 10 AS STRING) AS campaign_id, {choose("l_suppkey", CAMPAIGNS)} AS campaign_name,
            {YEAR_DAY} AS campaign_start_date, 'https://x.example/' || {choose("l_partkey", _CM_MEDIUMS)} AS click_through_url,
-           {MONTH_DAY} AS date, 'CPM' AS placement_cost_structure, CASE WHEN l_linestatus = 'O' THEN 'soon' ELSE {YEAR_DAY} END AS placement_end_date,
+           {MONTH_DAY} AS date, 'CPM' AS placement_cost_structure, CASE WHEN l_linenumber = 7 THEN 'soon' ELSE {YEAR_DAY} END AS placement_end_date,
            {choose("l_partkey", LINE_NAMES)} AS placement, CASE WHEN l_partkey % 40 > 20 THEN 'r1' END AS package_roadblock_id,
            CASE WHEN l_partkey % 40 > 20 THEN 'Road' END AS package_roadblock, '300x250' AS placement_size,
            {YEAR_DAY} AS placement_start_date, 'Reach' AS placement_strategy, 'key' || l_suppkey % 6 AS site_keyname,
-           l_linenumber AS clicks, CAST(l_quantity AS BIGINT) AS impressions, {choose("l_orderkey", _CM_SITES)} AS site_name
+           l_linenumber AS clicks, CAST(l_quantity AS BIGINT) AS impressions, {choose("l_orderkey", _CM_SITES)} AS site_name,
+           make_date(2024, 1, CAST(l_linenumber AS INT)) AS loaded
     FROM {{lineitem}}
 """
 _CM_KEYS = (
@@ -361,17 +368,18 @@ def _cm360_streams(t: Tables) -> dict[str, DataFrame]:
         "placementStrategy": "placement_strategy", "siteKeyname": "site_keyname", "clicks": "clicks",
         "impressions": "impressions", "site": "site_name",
     }
-    return {"cm360.report": as_envelope(t.sql(_CM_ROWS), names)}
+    return {"cm360.report": as_envelope(t.sql(_CM_ROWS), names, "loaded")}
 
 
-_CM_TYPED = f"(SELECT * REPLACE (CASE WHEN placement_end_date <> 'soon' THEN placement_end_date END AS placement_end_date) FROM ({_CM_ROWS}) r)"
+# Rows with a key that is no date are rejected.
+_CM_TYPED = f"(SELECT * FROM ({_CM_ROWS}) r WHERE placement_end_date <> 'soon')"
 
 
 @query(
     "model_cm360_serialised",
     f"""
     SELECT {_CM_KEYS}, CAST(clicks AS BIGINT) AS clicks, impressions, CAST(1 AS BIGINT) AS row_num FROM
-    {sql_first(f"(SELECT * FROM {_CM_TYPED} y WHERE advertiser = 'Acme - Snow') z", _CM_KEYS, nulls_last("clicks", "impressions"))} p
+    {sql_first(f"(SELECT * FROM {_CM_TYPED} y WHERE advertiser = 'Acme - Snow') z", _CM_KEYS, LATEST_FIRST + nulls_last("clicks", "impressions"))} p
     """,
 )
 def model_cm360_serialised(t: Tables) -> DataFrame:
@@ -387,7 +395,7 @@ _SQL_CM_DIRECT = f"""
     FROM (SELECT *, {SQL_MEDIUM} AS medium FROM {sql_first(
         f"(SELECT * FROM {_CM_TYPED} y WHERE advertiser = '@advertiser' AND lower(site_name) NOT IN "
         "('the trade desk', 'ttd', 'facebook', 'twitch', 'programmatic', 'dart', 'google ads', 'sem')) z",
-        _CM_KEYS, nulls_last("site_name", "clicks", "impressions"))} p) m
+        _CM_KEYS, LATEST_FIRST + nulls_last("site_name", "clicks", "impressions"))} p) m
 """
 
 
@@ -409,7 +417,7 @@ _TTD_ROWS = f"""
            {choose("l_partkey", AD_NAMES + _CREATIVES)} AS creative, CASE WHEN l_partkey % 16 > 9 THEN 'deal' END AS deal_id,
            'srv' || l_linenumber % 2 AS ad_server_name, 'pl' || l_partkey % 16 AS placement,
            CAST(l_quantity AS BIGINT) AS impressions, CAST(l_linenumber AS BIGINT) AS clicks, l_extendedprice AS cost,
-           CAST(l_suppkey % 9 AS BIGINT) AS conversions
+           CAST(l_suppkey % 9 AS BIGINT) AS conversions, make_date(2024, 1, CAST(l_linenumber AS INT)) AS loaded
     FROM {{lineitem}}
 """
 
@@ -436,7 +444,7 @@ def _ttd_streams(t: Tables) -> dict[str, DataFrame]:
         for kind in _TTD_KINDS:
             members[f"{tag} - {kind}"] = text
             members[f"{tag} - {kind} Revenue"] = F.concat(text, F.lit(".5"))
-    return {"ttd.standard": as_envelope(t.sql(_TTD_ROWS), members)}
+    return {"ttd.standard": as_envelope(t.sql(_TTD_ROWS), members, "loaded")}
 
 
 def _sql_ttd_serialised() -> str:
@@ -467,7 +475,7 @@ def _sql_ttd_serialised() -> str:
       {sql_ttd_format("creative")} AS media_format, {sql_token("creative", 7, 8)} AS audience_name,
       {sql_token("creative", 5, 8)} AS creative_descr, {sql_token("creative", 7, 8)} AS ad_format_detail,
       {sql_token("campaign_name", 1, 2)} AS campaign_descr
-    FROM {sql_first(f"({_TTD_ROWS}) r", keys, nulls_last("conversions", "cost"))} p
+    FROM {sql_first(f"({_TTD_ROWS}) r", keys, LATEST_FIRST + nulls_last("conversions", "cost"))} p
     """
 
 
@@ -481,7 +489,7 @@ _TTD_PICK = sql_first(
     f"({_TTD_ROWS}) r",
     "iso_day, partner_id, advertiser_id, campaign_id, ad_group_id, ad_format, creative_id, advertiser, campaign_name, "
     "ad_group, creative, deal_id, placement",
-    nulls_last("impressions", "clicks", "cost"),
+    LATEST_FIRST + nulls_last("impressions", "clicks", "cost"),
 )
 _SQL_TTD_TRANSFORMED = f"""
     SELECT ad_server_creative_placement_id, date, campaign_name, campaign_id, creative AS creative_name, creative_id, advertiser,
@@ -508,7 +516,7 @@ def model_ttd_transformed(t: Tables) -> DataFrame:
 _TT_BASIC = f"""
     SELECT CASE WHEN l_partkey % 100 = 99 THEN 'x' ELSE CAST(l_partkey AS STRING) END AS ad_id, {YEAR_DAY} || ' 00:00:00' AS day,
            l_extendedprice AS spend, CAST(l_quantity AS BIGINT) AS impressions, CAST(l_linenumber AS BIGINT) AS clicks,
-           l_suppkey AS p25, l_linestatus AS status
+           l_suppkey AS p25, l_linestatus AS status, make_date(2024, 1, CAST(l_linenumber AS INT)) AS loaded
     FROM {{lineitem}}
 """
 _TT_ADS = f"""
@@ -531,6 +539,7 @@ def _tiktok_streams(t: Tables) -> dict[str, DataFrame]:
         "tiktok.basic": as_envelope(
             basic,
             {"ad_id": "ad_id", "spend": F.col("spend").cast("string"), "impressions": "impressions", "clicks": "clicks", "stat_time_day": "day"},
+            "loaded",
         ),
         "tiktok.video": as_envelope(
             video,
@@ -539,6 +548,7 @@ def _tiktok_streams(t: Tables) -> dict[str, DataFrame]:
                 "video_views_p75": p25 + 2, "video_views_p100": p25 + 3, "video_play_actions": p25 + 4,
                 "video_watched_2s": F.concat(p25.cast("string"), F.lit(".5")),
             },
+            "loaded",
         ),
         "tiktok.ads": as_envelope(ads, {c: c for c in ads.columns}),
     }
@@ -546,8 +556,8 @@ def _tiktok_streams(t: Tables) -> dict[str, DataFrame]:
 
 _TT_TYPED = f"(SELECT * REPLACE (TRY_CAST(ad_id AS BIGINT) AS ad_id) FROM ({_TT_BASIC}) r)"
 _SQL_TIKTOK = f"""
-    WITH basic AS {sql_first(_TT_TYPED + " y", "ad_id, day", nulls_last("spend", "impressions", "clicks"))},
-    video AS {sql_first(f"(SELECT * FROM {_TT_TYPED} y WHERE status = 'O') z", "ad_id, day", nulls_last("p25"))},
+    WITH basic AS {sql_first(_TT_TYPED + " y", "ad_id, day", LATEST_FIRST + nulls_last("spend", "impressions", "clicks"))},
+    video AS {sql_first(f"(SELECT * FROM {_TT_TYPED} y WHERE status = 'O') z", "ad_id, day", LATEST_FIRST + nulls_last("p25"))},
     daily AS (SELECT b.ad_id AS stat_id, b.day, b.spend, b.impressions, b.clicks, v.p25 FROM basic b JOIN video v ON b.ad_id = v.ad_id AND b.day = v.day),
     ads AS (SELECT DISTINCT * FROM ({_TT_ADS}) a)
     SELECT clicks, round(spend, 2) AS media_cost, impressions, p25 AS video_25_completion, p25 + 1 AS video_50_completion,
@@ -573,7 +583,8 @@ _HV_ROWS = f"""
            {choose("l_suppkey", CAMPAIGNS)} AS campaign, CAST(l_suppkey % 10 AS STRING) AS campaign_id, 'City ' || l_returnflag AS city,
            {choose("l_partkey", AD_NAMES)} AS creative, {choose("l_partkey", LINE_NAMES)} AS line_item,
            CAST(l_partkey % 6 AS STRING) AS line_item_id, CAST(l_linenumber AS STRING) || '%' AS concentration,
-           l_quantity / 4 AS impressions, CAST(l_linenumber AS STRING) AS plays, l_discount AS progress, l_extendedprice AS spend
+           l_quantity / 4 AS impressions, CAST(l_linenumber AS STRING) AS plays, l_discount AS progress, l_extendedprice AS spend,
+           make_date(2024, 1, CAST(l_linenumber AS INT)) AS loaded
     FROM {{lineitem}}
 """
 
@@ -581,13 +592,13 @@ _HV_ROWS = f"""
 def _hivestack_streams(t: Tables) -> dict[str, DataFrame]:
     rows = t.sql(_HV_ROWS)
     numbers = {c: F.col(c).cast("string") for c in ("impressions", "progress", "spend")}
-    return {"hivestack.report": as_envelope(rows, {c: c for c in rows.columns if c != "day"} | numbers | {"datetime": "day"})}
+    return {"hivestack.report": as_envelope(rows, {c: c for c in rows.columns if c not in ("day", "loaded")} | numbers | {"datetime": "day"}, "loaded")}
 
 
 def _sql_hivestack(label: Label) -> str:
     pick = sql_first(
         f"({_HV_ROWS}) r", "campaign_id, line_item_id, day, creative, plays",
-        nulls_last("campaign", "city", "line_item", "CAST(replace(concentration, '%', '') AS DOUBLE)", "impressions", "progress", "spend"),
+        LATEST_FIRST + nulls_last("campaign", "city", "line_item", "CAST(replace(concentration, '%', '') AS DOUBLE)", "impressions", "progress", "spend"),
     )
     media_format = "'PDOOH' AS media_format," if label.hivestack_media_format else ""
     return f"""
@@ -769,7 +780,7 @@ _SQL_GA4_GOAL = f"""
       ac AS "sessionManualAdContent", sm AS "sessionSourceMediumraw", event AS "eventName", n AS "eventCount", v AS "eventValue",
       '2024-01-01' AS report_start_date, day AS report_end_date, strftime(loaded, '%Y-%m-%d %H:%M:%S') AS _sdc_extracted_at,
       strftime(loaded, '%Y-%m-%d %H:%M:%S') AS _sdc_received_at, strftime(loaded, '%Y-%m-%d %H:%M:%S') AS _sdc_batched_at,
-      CAST(NULL AS VARCHAR) AS _sdc_deleted_at, CAST(epoch(loaded) AS BIGINT) AS _sdc_sequence,
+      CAST(NULL AS VARCHAR) AS _sdc_deleted_at, CAST(epoch_ms(loaded) AS BIGINT) AS _sdc_sequence,
       CAST(NULL AS BIGINT) AS _sdc_table_version, {sql_site_name("sm", "c")} AS site_name
     FROM {sql_first(f"({_G4_ROWS}) r", "day, sm, c, ac, event", f"loaded DESC NULLS LAST, {nulls_last('n', 'v')}")} p
 """
@@ -822,13 +833,23 @@ def _sql_labelled(facts: str) -> str:
     """
 
 
-def _sql_part(model: str, extra: str = "", **columns: str) -> str:
+# Columns of the unified table and their types; dates are compared as text.
+_SQL_TYPES = {
+    "media_cost": "DOUBLE", "impressions": "DOUBLE", "clicks": "BIGINT", "creative_name": "VARCHAR", "audience_name": "VARCHAR",
+    "ad_format": "VARCHAR", "ad_format_detail": "VARCHAR", "video_completion": "DOUBLE", "video_25_completion": "DOUBLE",
+    "video_50_completion": "DOUBLE", "video_75_completion": "DOUBLE", "video_views": "BIGINT", "campaign_name": "VARCHAR",
+    "publisher": "VARCHAR", "campaign_descr": "VARCHAR", "creative_descr": "VARCHAR", "date": "VARCHAR",
+}
+_SQL_WHOLE_VIDEO = {
+    "video_completion": "BIGINT", "video_25_completion": "BIGINT", "video_50_completion": "BIGINT", "video_75_completion": "BIGINT",
+}
+
+
+def _sql_part(model: str, whole_video: bool = False, **columns: str) -> str:
     """SQL text: one source on the contract; columns given by name are expressions."""
-    picked = [
-        f"CAST({columns.get(name, name)} AS {'VARCHAR' if kind == 'date' else {'string': 'VARCHAR'}.get(kind, kind)}) AS {name}"
-        for name, kind in MEDIA_CONTRACT.items()
-    ]
-    return f"SELECT {', '.join(picked)} FROM ({model}) {extra or 'm'}"
+    types = _SQL_TYPES | (_SQL_WHOLE_VIDEO if whole_video else {})
+    picked = [f"CAST({columns.get(name, name)} AS {kind}) AS {name}" for name, kind in types.items()]
+    return f"SELECT {', '.join(picked)} FROM ({model}) m"
 
 
 _NO_VIDEO = {c: "0" for c in ("video_completion", "video_25_completion", "video_50_completion", "video_75_completion", "video_views")}
@@ -844,11 +865,11 @@ _SQL_TOURISM = " UNION ALL ".join(
 )
 _SQL_MOUNTAIN = " UNION ALL ".join(
     [
-        _sql_part(_sql_facebook(MOUNTAIN), video_views="video_played"),
-        _sql_part(_SQL_DV_STANDARD, video_views="video_25_completion"),
-        _sql_part(_SQL_CM_DIRECT.replace("@advertiser", ADVERTISER["mountain"]), **_NO_VIDEO),
-        _sql_part(_SQL_TIKTOK, video_completion="video_100_completion", video_views="video_view"),
-        _sql_part(_sql_hivestack(MOUNTAIN), clicks="0", **_NO_VIDEO),
+        _sql_part(_sql_facebook(MOUNTAIN), True, video_views="video_played"),
+        _sql_part(_SQL_DV_STANDARD, True, video_views="video_25_completion"),
+        _sql_part(_SQL_CM_DIRECT.replace("@advertiser", ADVERTISER["mountain"]), True, **_NO_VIDEO),
+        _sql_part(_SQL_TIKTOK, True, video_completion="video_100_completion", video_views="video_view"),
+        _sql_part(_sql_hivestack(MOUNTAIN), True, clicks="0", **_NO_VIDEO),
     ]
 )
 
@@ -946,7 +967,7 @@ _UNIFIED = {
 )
 def dash_unified(t: Tables) -> DataFrame:
     """Three sources, zero-filled union, lookup, canonical campaign, media format."""
-    frames = {name: spread(t.sql(sql)) for name, sql in _UNIFIED.items()}
+    frames = {name: t.sql(sql) for name, sql in _UNIFIED.items()}
     facts = unify(frames, given={name: {c: F.lit(0) for c in _NO_VIDEO} for name in frames})
     lookup = stage(t.sql(_LOOKUP), "publisher_channel")
     return comparable(dash.label_facts(facts, lookup))

@@ -28,9 +28,10 @@ from adloom.operators.report import dimension_report
 from adloom.operators.unify import unify
 from adloom.plans import rules
 from adloom.plans.cm360 import exclude_sites
+from adloom.plans.facebook import device_platform
 from adloom.plans.formats import dv360_format, social_format, ttd_format
 from adloom.plans.ga4 import campaign_token, display_source
-from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query, spread
+from adloom.queries.base import Tables, as_envelope, choose, comparable, nulls_last, query
 from adloom.sources.staging import stage
 
 # --- pick one ----------------------------------------------------------------
@@ -152,14 +153,15 @@ def json_envelope(t: Tables) -> DataFrame:
 @query(
     "json_props",
     """
-    SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n
-    FROM events WHERE json_extract_string(props, '$.k') <> '7' GROUP BY 1, 2
+    SELECT event_type, json_extract_string(props, '$.k') = '7' AS seven,
+           CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n
+    FROM events GROUP BY 1, 2, 3
     """,
 )
 def json_props(t: Tables) -> DataFrame:
-    wanted = t.events.where(json_member("props", "k") != "7")
-    parsed = parse_envelope(wanted, fields("long", k="k"), keep=["event_type"], data="props")
-    return parsed.groupBy("event_type", "k").agg(F.count("*").alias("n"))
+    marked = t.events.withColumn("seven", json_member("props", "k") == "7")
+    parsed = parse_envelope(marked, fields("long", k="k"), keep=["event_type", "seven"], data="props")
+    return parsed.groupBy("event_type", "seven", "k").agg(F.count("*").alias("n"))
 
 
 # A line's actions: none at all, an empty array, or two elements of its type.
@@ -183,7 +185,7 @@ def _line_actions(t: Tables) -> DataFrame:
     actions = F.when(F.col("l_linenumber") == 1, F.lit(None)).when(
         F.col("l_linenumber") == 2, F.slice(full, 1, 0)
     ).otherwise(full)
-    raw = spread(t.sql(_LINE_ACTIONS)).select(
+    raw = t.sql(_LINE_ACTIONS).select(
         F.to_json(F.struct("l_orderkey", "l_linenumber", actions.alias("actions"))).alias("data")
     )
     array = "json:array<struct<action_type:string,value:string>>"
@@ -249,7 +251,7 @@ def json_nested_flatten(t: Tables) -> DataFrame:
         ),
     )
     targeting = F.when(F.col("l_linenumber") > 1, F.struct(F.when(F.col("l_linenumber") == 2, F.slice(spec, 1, 0)).otherwise(spec).alias("flexible_spec")))
-    lines = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     raw = lines.select(
         F.to_json(F.struct(F.col("l_orderkey").cast("string").alias("id"), targeting.alias("targeting"))).alias("data")
     )
@@ -395,8 +397,9 @@ def url_param(t: Tables) -> DataFrame:
     "array_map_filter",
     f"""
     WITH n AS ({_PART_NAMES}),
-    b AS (SELECT p_brand, list_sort(list(DISTINCT coded) FILTER (coded IS NOT NULL)) AS names FROM n GROUP BY p_brand)
-    SELECT p_brand, array_to_string(list_filter(list_transform(names, lambda x: string_split(x, '_')[2]),
+    b AS (SELECT p_partkey % 1000 AS k, p_brand, coalesce(list_sort(list(DISTINCT coded) FILTER (coded IS NOT NULL)), []) AS names
+          FROM n GROUP BY ALL)
+    SELECT k, p_brand, array_to_string(list_filter(list_transform(names, lambda x: string_split(x, '_')[2]),
              lambda x: x IS NOT NULL AND x <> ''), '|') AS seconds,
            array_to_string(list_filter(list_transform(names, lambda x: nullif(regexp_extract(x, '_e_([^_]+)', 1), '')),
              lambda x: x IS NOT NULL), '|') AS types
@@ -404,9 +407,11 @@ def url_param(t: Tables) -> DataFrame:
     """,
 )
 def array_map_filter(t: Tables) -> DataFrame:
-    names = distinct_array(t.sql(_PART_NAMES), ["p_brand"], ["coded"])
+    keyed = t.sql(_PART_NAMES).withColumn("k", F.col("p_partkey") % 1000)
+    names = distinct_array(keyed, ["k", "p_brand"], ["coded"])
     return comparable(
         names.select(
+            "k",
             "p_brand",
             map_tokens(F.col("coded"), 1).alias("seconds"),
             map_regex(F.col("coded"), "_e_([^_]+)").alias("types"),
@@ -562,11 +567,10 @@ SQL_MEDIUM = "string_split(nullif(regexp_extract(click_through_url, 'utm_medium=
     f"""
     SELECT page_id, {sql_cm360_publisher()} AS publisher, {sql_cm360_format("medium")} AS media_format
     FROM (SELECT *, {SQL_MEDIUM} AS medium FROM ({_PAGE_SITES}) p) q
-    WHERE site_name IS NOT NULL
     """,
 )
 def classify_site(t: Tables) -> DataFrame:
-    sites = t.sql(_PAGE_SITES).where(F.col("site_name").isNotNull())
+    sites = t.sql(_PAGE_SITES)
     first_word = initcap_punct(token(F.col("site_name"), 0, sep=" "))
     medium = token(regex_first(F.col("click_through_url"), "utm_medium=([^&]+)"), 1, sep="-")
     published = classify(sites.withColumn("__medium", medium), "publisher", rules.CM360_PUBLISHER, first_word)
@@ -661,8 +665,60 @@ _CHANNEL_ROWS = f"""
 """
 
 
+# Keyword in the site name and the channel it stands for, first match wins.
+CHANNELS = [
+    ("acast", "Paid Display"),
+    ("adfenix", "Owned Display"),
+    ("adobe", "Paid Display"),
+    ("apple_ads_search", "Paid Search"),
+    ("bing_ads_search", "Paid Search"),
+    ("blis", "Paid Display"),
+    ("business_desk", "Paid Display"),
+    ("clearscore", "Affiliate"),
+    ("dart_search", "Paid Search"),
+    ("demand_gen", "Paid Display"),
+    ("direct", "Direct"),
+    ("dv_360", "Paid Display"),
+    ("dv360", "Paid Display"),
+    ("email", "Email"),
+    ("facebook", "Paid Social"),
+    ("gdn", "Owned Display"),
+    ("gmb", "Google My Business"),
+    ("google_ads_display", "Paid Display"),
+    ("google_ads_search", "Paid Search"),
+    ("google_my_business", "Google My Business"),
+    ("homes.co.nz", "Paid Display"),
+    ("linkedin", "Paid Social"),
+    ("listinglogic", "Owned Display"),
+    ("mediaworks", "Paid Display"),
+    ("metservice", "Paid Display"),
+    ("nzh_business", "Paid Display"),
+    ("nzherald", "Paid Display"),
+    ("nzme", "Paid Display"),
+    ("organic search", "Organic Search"),
+    ("organic social", "Organic Social"),
+    ("outbrain", "Paid Display"),
+    ("own_social", "Owned Social"),
+    ("pinterest", "Paid Social"),
+    ("quora", "Paid Social"),
+    ("referral", "Referral"),
+    ("rem", "Owned Display"),
+    ("snapchat", "Paid Social"),
+    ("spotify", "Paid Display"),
+    ("stuff", "Paid Display"),
+    ("teads", "Paid Display"),
+    ("tiktok", "Paid Social"),
+    ("trademe", "Paid Display"),
+    ("ttd", "Paid Display"),
+    ("tvnz", "Paid Display"),
+    ("twitch", "Paid Display"),
+    ("verizon", "Paid Display"),
+    ("youtube", "Paid Display"),
+]
+
+
 def sql_channel(site: str) -> str:
-    arms = " ".join(f"WHEN lower({site}) LIKE '%{k}%' THEN '{v}'" for k, v in rules.GA4_CHANNEL_KEYWORDS)
+    arms = " ".join(f"WHEN lower({site}) LIKE '%{k}%' THEN '{v}'" for k, v in CHANNELS)
     return f"CASE {arms} ELSE 'Unknown' END"
 
 
@@ -751,7 +807,7 @@ def device_prefix(t: Tables) -> DataFrame:
         "SELECT l_partkey, CASE l_linenumber % 4 WHEN 0 THEN 'mobile_app' WHEN 1 THEN 'mobile_web' "
         "WHEN 2 THEN 'desktop' END AS d FROM {lineitem}"
     )
-    plain = F.when(F.col("d").startswith("mobile"), F.lit("mobile")).otherwise(F.col("d"))
+    plain = device_platform(F.col("d"))
     return comparable(distinct_array(platforms.select("l_partkey", plain.alias("devices")), ["l_partkey"], ["devices"]))
 
 
@@ -799,7 +855,8 @@ def canonical_spelling_query(t: Tables) -> DataFrame:
 
 
 _PUBLISHERS = """
-    SELECT DISTINCT upper(event_type) AS publisher, 'Channel ' || length(event_type) AS channel
+    SELECT DISTINCT upper(event_type) AS publisher, 'Channel ' || length(event_type) AS channel,
+           CASE WHEN length(event_type) % 2 = 0 THEN 'North' ELSE 'South' END AS region
     FROM {events} WHERE event_type <> 'error'
 """
 
@@ -807,7 +864,7 @@ _PUBLISHERS = """
 @query(
     "lookup_join_ci",
     f"""
-    SELECT event_id, round(value, 2) AS value, channel, event_type AS publisher
+    SELECT event_id, round(value, 2) AS value, channel, region, event_type AS publisher
     FROM events JOIN ({_PUBLISHERS}) p ON lower(event_type) = lower(p.publisher)
     """,
 )
@@ -849,18 +906,17 @@ def lookup_unmapped(t: Tables) -> DataFrame:
     "left_enrich",
     """
     WITH seg AS (SELECT c_nationkey, array_to_string(list_sort(list(DISTINCT c_mktsegment)), '|') AS segments
-                 FROM customer WHERE c_acctbal > 0 GROUP BY 1)
+                 FROM customer GROUP BY 1)
     SELECT o_orderkey, c_name, n_name, segments
-    FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0
+    FROM orders LEFT JOIN customer ON c_custkey = CASE WHEN o_orderkey % 4 = 0 THEN -1 - o_custkey ELSE o_custkey END
     LEFT JOIN nation ON n_nationkey = customer.c_nationkey LEFT JOIN seg ON seg.c_nationkey = customer.c_nationkey
     """,
 )
 def left_enrich(t: Tables) -> DataFrame:
-    customers = t.customer.where("c_acctbal > 0")
-    segments = distinct_array(customers, ["c_nationkey"], ["c_mktsegment"]).withColumnRenamed("c_mktsegment", "segments")
+    segments = distinct_array(t.customer, ["c_nationkey"], ["c_mktsegment"]).withColumnRenamed("c_mktsegment", "segments")
     enriched = (
-        t.orders.select("o_orderkey", "o_custkey")
-        .join(customers.drop("c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderkey % 4 = 0 THEN -1 - o_custkey ELSE o_custkey END AS buyer")
+        .join(t.customer.drop("c_mktsegment"), F.col("buyer") == F.col("c_custkey"), "left")
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(segments, "c_nationkey", "left")
     )

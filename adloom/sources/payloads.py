@@ -49,12 +49,12 @@ DV360_STANDARD = [
         cm360_post_click_revenue="CM360 Post-Click Revenue",
         cm360_post_view_revenue="CM360 Post-View Revenue",
     ),
-    *fields("long", clicks="Clicks", video_completion="Complete Views (Video)"),
+    *fields("long", "safe", clicks="Clicks", video_completion="Complete Views (Video)"),
     *fields(creative_name="Creative"),
     *fields("iso_text:year_first_slash", date="Date"),
-    *fields("long", video_25_completion="First-Quartile Views (Video)"),
+    *fields("long", "safe", video_25_completion="First-Quartile Views (Video)"),
     *fields(floodlight_activity_id="Floodlight Activity ID", floodlight_activity_name="Floodlight Activity Name"),
-    *fields("long", impressions="Impressions"),
+    *fields("long", "safe", impressions="Impressions"),
     *fields(
         campaign_name="Insertion Order",
         campaign_id="Insertion Order ID",
@@ -62,18 +62,18 @@ DV360_STANDARD = [
         line_item="Line Item",
         line_item_id="Line Item ID",
     ),
-    *fields("long", video_50_completion="Midpoint Views (Video)"),
+    *fields("long", "safe", video_50_completion="Midpoint Views (Video)"),
     *fields(post_click_conversions="Post-Click Conversions", post_view_conversions="Post-View Conversions"),
-    *fields("double", media_cost="Revenue (Adv Currency)"),
-    *fields("long", video_75_completion="Third-Quartile Views (Video)"),
+    *fields("double", "safe", media_cost="Revenue (Adv Currency)"),
+    *fields("long", "safe", video_75_completion="Third-Quartile Views (Video)"),
     *fields(total_conversions="Total Conversions"),
 ]
 
 DV360_YOUTUBE = [
     *fields(advertiser_currency="Advertiser Currency"),
-    *fields("long", clicks="Clicks", video_completion="Complete Views (Video)"),
+    *fields("long", "safe", clicks="Clicks", video_completion="Complete Views (Video)"),
     *fields("iso_text:year_first_slash", date="Date"),
-    *fields("long", video_25_completion="First-Quartile Views (Video)", impressions="Impressions"),
+    *fields("long", "safe", video_25_completion="First-Quartile Views (Video)", impressions="Impressions"),
     *fields(
         campaign_name="Insertion Order",
         campaign_id="Insertion Order ID",
@@ -81,9 +81,9 @@ DV360_YOUTUBE = [
         line_item="Line Item",
         line_item_id="Line Item ID",
     ),
-    *fields("long", video_50_completion="Midpoint Views (Video)"),
-    *fields("double", media_cost="Revenue (Adv Currency)"),
-    *fields("long", video_75_completion="Third-Quartile Views (Video)"),
+    *fields("long", "safe", video_50_completion="Midpoint Views (Video)"),
+    *fields("double", "safe", media_cost="Revenue (Adv Currency)"),
+    *fields("long", "safe", video_75_completion="Third-Quartile Views (Video)"),
     *fields(youtube_ad="YouTube Ad", youtube_ad_group="YouTube Ad Group", youtube_ad_group_id="YouTube Ad Group ID"),
 ]
 
@@ -190,9 +190,9 @@ TIKTOK_BASIC = [
     *fields(date="stat_time_day"),
 ]
 TIKTOK_VIDEO = [
+    *fields("long", ad_id="ad_id"),
     *fields(
         "long",
-        ad_id="ad_id",
         video_25_completion="video_views_p25",
         video_50_completion="video_views_p50",
         video_75_completion="video_views_p75",

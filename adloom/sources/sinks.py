@@ -7,25 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring rows together by partition, or each task would write a small file into every partition.
+
+    The rebalance splits partitions that are too large for one task.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+
+
 def save_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh of a catalogue table."""
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
 
 
 def save_path(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh of a Parquet folder."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions that occur in ``df``.
-
-    Rows are first brought together by partition, or each task would write a
-    small file into every partition; the rebalance splits partitions that are
-    too large for one task.
-    """
+    """Replace only the partitions that occur in ``df``."""
     (
-        df.hint("rebalance", *partition_by)
+        _gathered(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

@@ -7,33 +7,44 @@ the true size of the frame, which is what decides broadcast or shuffle.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+_chosen: str | None = None
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The session's ``spark.checkpoint.dir``; a folder of our own only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    global _local_folder
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="adloom-")
-    return _local_folder
+def use_folder(folder: str | None) -> None:
+    """The folder for sessions without ``spark.checkpoint.dir``; on a cluster one that all executors share."""
+    global _chosen
+    _chosen = folder
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, else the folder given to ``use_folder``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _chosen
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir, or call use_folder() with a folder that all executors share")
+    return folder.rstrip("/")
+
+
+class Staging:
+    """A folder of staged tables that lives as long as its owner."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/adloom/{uuid.uuid4().hex}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; unchanged where there is none."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder}/adloom/{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Stage one frame in a folder of its own, which stays like a checkpoint."""
+    return Staging(df.sparkSession)(df, name)

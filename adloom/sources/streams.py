@@ -6,12 +6,15 @@ Models ask a ``Streams`` for the frames they need. Streams come from a folder
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adloom.sources import raw
+from adloom.operators.envelope import LATEST, LOAD_COLUMNS, Field, json_member, parse_envelope, rejects
+from adloom.sources import raw, sinks
 
 # Stream names as the extractors write them.
 ENVELOPE_STREAMS = {
@@ -56,25 +59,115 @@ LOOKUP_STREAM = "publisher_channel"
 # One report holds all advertisers; the label filter is part of the model.
 SHARED = {"cm360.report"}
 
+# Days before the day of a run that its sources load again.
+RELOAD_DAYS = {"ga4": 30}
+RELOAD_DAYS_DEFAULT = 1
+
+# The day of a row in the typed tables that grow by day.
+TYPED_DAYS = {"google_ads.ad_stats": "_DATA_DATE", "google_ads.campaign_stats": "_DATA_DATE"}
+
 
 @dataclass
 class Streams:
+    """``parsed`` is a folder of tables made by ``store_parsed``; ``as_of`` limits daily rows to the reload window."""
+
     spark: SparkSession
     root: str | None = None
     given: Mapping[str, DataFrame] = field(default_factory=dict)
+    parsed: str | None = None
+    as_of: dt.date | None = None
+    #: Where given, every parse adds the frame of its rejected rows.
+    rejected: list[DataFrame] | None = None
+
+    def first_day(self, name: str) -> dt.date | None:
+        """First day of the window of a stream, None without a window."""
+        days = RELOAD_DAYS.get(name.split(".")[0], RELOAD_DAYS_DEFAULT)
+        return None if self.as_of is None else self.as_of - dt.timedelta(days=days)
+
+    def rows(
+        self,
+        name: str,
+        label: str,
+        wanted: Sequence[Field],
+        keys: Sequence[str] = (),
+        strict: bool = False,
+        keep: Sequence[str] = LATEST,
+        day: str | None = None,
+        advertiser: str | None = None,
+    ) -> DataFrame:
+        """The typed rows of an envelope stream: its parsed table where there is one, else its raw rows, parsed.
+
+        ``day`` names the column that the window filters. No day is loaded before
+        it is over or running, so the window also prunes a parsed table's days
+        of load; ``advertiser`` prunes a shared report.
+        """
+        first = self.first_day(name) if day else None
+        if self.parsed is not None:
+            table = self.spark.read.parquet(parsed_path(self.parsed, name, label))
+            if first is not None:
+                table = table.where(F.col("loaded_on") >= F.lit(first))
+            if advertiser is not None:
+                table = table.where(F.col("advertiser") == advertiser)
+            found = table.select(*[f.name for f in wanted], *keep)
+        else:
+            source = self.read(name, label)
+            if advertiser is not None:
+                source = source.where(json_member("data", "advertiser") == advertiser)
+            if self.rejected is not None:
+                bad = rejects(source, wanted, LATEST, keys=keys)
+                self.rejected.append(bad.select(F.lit(name).alias("stream"), F.lit(label).alias("label"), *bad.columns))
+            found = parse_envelope(source, wanted, keep, strict, keys=keys)
+        return found if first is None else found.where(F.col(day) >= F.lit(str(first)))
 
     def read(self, name: str, label: str) -> DataFrame:
         for key in (f"{name}@{label}", name):
             if key in self.given:
-                return self.given[key]
+                return self._windowed(self.given[key], name)
         if self.root is None:
             raise KeyError(f"no stream {name!r} for label {label!r}")
         source = name.split(".")[0]
         if name in TYPED_STREAMS:
-            return raw.read_typed(self.spark, f"{self.root}/{name.replace('.', '/')}", TYPED_STREAMS[name])
+            table = raw.read_typed(self.spark, f"{self.root}/{name.replace('.', '/')}", TYPED_STREAMS[name])
+            return self._windowed(table, name)
         if name in ENVELOPE_STREAMS:
             folder = f"{source}_raw" if name in SHARED else f"{source}_raw__{label}"
             return raw.read_envelope(self.spark, f"{self.root}/{folder}/{ENVELOPE_STREAMS[name]}")
         if name == LOOKUP_STREAM:
             return self.spark.read.parquet(f"{self.root}/{name}")
         raise KeyError(name)
+
+    def _windowed(self, table: DataFrame, name: str) -> DataFrame:
+        first = self.first_day(name)
+        if first is None or name not in TYPED_DAYS:
+            return table
+        return table.where(F.col(TYPED_DAYS[name]) >= F.lit(first))
+
+
+def parsed_path(root: str, name: str, label: str) -> str:
+    return f"{root}/{name}" if name in SHARED else f"{root}/{name}__{label}"
+
+
+def store_parsed(
+    streams: Streams, name: str, label: str, wanted: Sequence[Field], keys: Sequence[str], root: str, strict: bool = False
+) -> DataFrame:
+    """Parse a stream once into a typed table by day of load (a shared report by advertiser first); returns the rejects.
+
+    With ``as_of`` set only rows loaded within the window are parsed, and only
+    their days of load are replaced.
+    """
+    source = streams.read(name, label)
+    first = streams.first_day(name)
+    if first is not None:
+        source = source.where(F.col("_sdc_extracted_at") >= F.lit(first))
+    rows = parse_envelope(source, wanted, list(LOAD_COLUMNS), strict, keys=keys)
+    by = ["advertiser", "loaded_on"] if name in SHARED else ["loaded_on"]
+    dated = rows.withColumn("loaded_on", F.to_date("_sdc_extracted_at"))
+    sinks.replace_partitions(dated, parsed_path(root, name, label), by)
+    return rejects(source, wanted, LATEST, keys=keys)
+
+
+def all_rejected(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
+    """One frame of rejected rows: stream, label, reason, data and the load columns."""
+    if frames:
+        return reduce(DataFrame.unionByName, frames)
+    return spark.createDataFrame([], "stream string, label string, reason string, data string, _sdc_extracted_at timestamp, _sdc_sequence bigint")

@@ -2,13 +2,15 @@
 
 import datetime as dt
 import json
+from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from adloom.operators.envelope import LOAD_COLUMNS
 from adloom.plans.labels import MOUNTAIN, TOURISM
-from adloom.plans.runner import MODELS, run_labels, run_model
+from adloom.plans.runner import MODELS, Run, run_labels, run_model
 from adloom.sources.streams import Streams
 
 
@@ -135,6 +137,61 @@ def test_strict_stops_on_bad_numbers(spark):
         run_model("ttd_transformed", "tourism", streams, strict=True).collect()
 
 
+@pytest.mark.parametrize(
+    "model, stream, doc, key, bad",
+    [
+        ("dv360_standard", "dv360.standard", {"Date": "2024/05/01", "Insertion Order ID": "1"}, "Date", ["01-05-2024", "02-05-2024", "03-05-2024"]),
+        ("dv360_youtube", "dv360.youtube", {"Date": "2024/05/01", "Insertion Order ID": "1"}, "Date", ["01-05-2024", "02-05-2024"]),
+        ("cm360_serialised", "cm360.report", {"advertiser": "Acme", "date": "2024-05-01"}, "date", ["1 May", "2 May"]),
+        ("cm360_direct_buy", "cm360.report", {"advertiser": "Acme", "date": "2024-05-01", "site": "x"}, "date", ["1 May", "2 May"]),
+        ("ttd_serialised", "ttd.standard", {"Date": "01/05/2024"}, "Date", ["2024-05-01", "2024-05-02"]),
+        ("ttd_transformed", "ttd.standard", {"Date": "01/05/2024"}, "Date", ["2024-05-01", "2024-05-02"]),
+        ("hivestack", "hivestack.report", {"datetime": "2024-05-01", "campaign_id": "1"}, "campaign_id", ["x", "y"]),
+        ("ga4_goal", "ga4.goal", {"date": "20240501", "eventName": "a"}, "date", ["2024-05-01", "1 May"]),
+    ],
+)
+def test_keys_that_do_not_parse_are_rejected_and_never_merge(spark, model, stream, doc, key, bad):
+    docs = [doc, *({**doc, key: b} for b in bad)]
+    table = envelope(spark, *docs).union(envelope(spark, doc).withColumn("data", F.lit('{"broken')))
+    label = TOURISM.with_accounts(cm360_advertiser="Acme")
+    run = Run(Streams(spark, given={stream: table if model[:5] != "cm360" else envelope(spark, *docs)}))
+    assert run.model(model, label).count() == 1
+    reasons = Counter(r.reason for r in run.rejects(model, label).collect())
+    expected = {f"{key} does not parse": len(bad)} | ({"malformed document": 1} if model[:5] != "cm360" else {})
+    assert reasons == expected
+    with pytest.raises(Exception):
+        run_model(model, label, run.streams, strict=True).collect()
+
+
+def test_safe_fields_stay_safe_in_a_strict_run(spark):
+    streams = Streams(spark, given={"dv360.standard": envelope(spark, DV)})
+    assert run_model("dv360_standard", "tourism", streams, strict=True).first()["clicks"] is None
+
+
+def test_the_later_load_wins(spark):
+    cases = [
+        ("hivestack", "hivestack.report", {"datetime": "2024-05-01", "campaign_id": "1"}, "spend", "media_cost"),
+        ("ttd_transformed", "ttd.standard", {"Date": "01/05/2024"}, "Partner Cost (Partner Currency)", "media_cost"),
+        ("cm360_serialised", "cm360.report", {"advertiser": "Acme", "date": "2024-05-01"}, "clicks", "clicks"),
+    ]
+    for model, stream, doc, member, column in cases:
+        for first, second in (("1", "9"), ("9", "1")):
+            loads = envelope(spark, {**doc, member: first}, {**doc, member: second}, loaded=["2024-05-02", "2024-05-04"])
+            label = TOURISM.with_accounts(cm360_advertiser="Acme")
+            assert [float(r[column]) for r in run_model(model, label, Streams(spark, given={stream: loads})).collect()] == [float(second)]
+
+
+def test_second_labels_video_is_whole(spark):
+    streams = facebook_streams(spark, INSIGHT)
+    lookup = spark.createDataFrame([("facebook", "Social")], "publisher string, channel string")
+    for label, kind in ((TOURISM, "double"), (MOUNTAIN, "bigint")):
+        only = replace(label, media_sources=("facebook",))
+        streams.given["publisher_channel"] = lookup
+        table = run_model("dash_table", only, streams)
+        assert dict(table.dtypes)["video_completion"] == kind and table.count() == 1
+        assert Run(streams).unmapped(only).count() == 0
+
+
 def test_tiktok(spark):
     day = {"ad_id": "1", "stat_time_day": "2024-05-01 00:00:00"}
     ads = [{"ad_id": "01", "ad_name": "vid", "campaign_name": "ACM_Ski_x_SOCIAL", "adgroup_name": "PLATFORM_App_x"}] * 2

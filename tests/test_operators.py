@@ -15,7 +15,7 @@ from adloom.operators.canonical import canonical_spelling
 from adloom.operators.classify import classify, every, has, like, no, one_of
 from adloom.operators.columns import normal_name, normalise_columns, select_glob, select_streams
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import Field, fields, flatten_names, parse_envelope
+from adloom.operators.envelope import Field, fields, flatten_names, parse_envelope, rejects
 from adloom.operators.incremental import incremental_since, lookback
 from adloom.operators.lookup import lookup_ci, unmapped
 from adloom.operators.report import dimension_report
@@ -84,8 +84,9 @@ def test_envelope_scalars_only(spark):
     docs = envelope(spark, {"a b": "[kept]", "c": {"k": 1}, "d": [1], "e": 7, "f%": True}, "not json", None, {"c": "{x"})
     wanted = fields(a="a b", c="c", d="d", f="f%") + [Field("e", "e", "long")]
     rows = [tuple(r) for r in parse_envelope(docs, wanted).collect()]
-    empty = (None,) * 5
-    assert sorted(rows, key=str) == sorted([("[kept]", None, None, "true", 7), empty, empty, (None, "{x", None, None, None)], key=str)
+    assert sorted(rows, key=str) == sorted([("[kept]", None, None, "true", 7), (None, "{x", None, None, None)], key=str)
+    reasons = [(r.reason, r.data) for r in rejects(docs, wanted).collect()]
+    assert sorted(reasons, key=str) == [("malformed document", "not json"), ("no document", None)]
 
 
 def test_envelope_parses_once_under_a_filter(spark, capsys):
@@ -209,6 +210,10 @@ def test_lookup(spark):
     assert kept.columns == ["n", "channel", "region", "publisher"]
     assert sorted(tuple(r) for r in kept.collect()) == [(1, "Again", "AU", "Facebook"), (1, "Social", "NZ", "Facebook")]
     assert {r.publisher for r in lookup_ci(facts, lookup, "publisher", keep="lookup").collect()} == {"FACEBOOK", "facebook"}
+    spent = facts.withColumns({"media_cost": F.lit(5.0), "channel": F.lit("old")})
+    assert {r.channel for r in lookup_ci(spent, lookup, "publisher").collect()} == {"Social", "Again"}
+    with pytest.raises(ValueError, match="media_cost"):
+        lookup_ci(spent, lookup.withColumn("media_cost", F.lit(None)), "publisher")
     assert sorted(map(str, (r.publisher for r in unmapped(facts, lookup, "publisher").collect()))) == ["None", "stuff"]
 
 
@@ -254,7 +259,24 @@ def test_incremental(spark):
     new = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 3)] + [(None,)], "day date")
     done = spark.createDataFrame([(dt.date(2024, 1, 2),)], "day date")
     assert {r.day.day for r in incremental_since(new, done, "day").collect()} == {2, 3}
-    assert incremental_since(new, done.limit(0), "day").count() == 4
+    assert incremental_since(new, done.limit(0), "day").count() == 3
+
+
+@pytest.mark.parametrize("kind, values", [("int", [-5, 7]), ("bigint", [-(2**40), 7]), ("double", [-1.5, 2.5]), ("string", ["", "b"])])
+def test_incremental_of_any_type_starts_at_the_lowest(spark, kind, values):
+    new = spark.createDataFrame([(v,) for v in values], f"x {kind}")
+    assert incremental_since(new, new.limit(0), "x").count() == 2
+    assert incremental_since(new, new, "x").count() == 1
+
+
+def test_incremental_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("select id, date_add(date'2024-01-01', cast(id as int)) as day from range(20)").write.partitionBy("day").parquet(path)
+    table = spark.read.parquet(path)
+    fresh = incremental_since(table, table.where("id = 18"), "day")
+    assert fresh.count() == 2
+    scan = next(line for line in fresh._jdf.queryExecution().toString().splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(day" in scan and "scalar-subquery" in scan.lower().replace("subquery#", "scalar-subquery#")
 
 
 def test_lookback(spark):
