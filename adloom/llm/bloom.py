@@ -8,6 +8,7 @@ that is full costs shuffle, never results.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 BUCKET = 32768  # bits of one value of bitmap_construct_agg
@@ -46,7 +47,6 @@ def maybe(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def may_match(packed: np.ndarray, key: Column) -> Column:
     """Condition on a long column of well-spread keys; only this column goes to Python."""
-    import pandas as pd
 
     @F.pandas_udf("boolean")
     def test(keys: pd.Series) -> pd.Series:

@@ -13,9 +13,11 @@ else, in any document, is removed.
   one before, and the rest) and sends each stretch between splitters to one
   place, where a loser tree merges the runs. The tree carries the prefix that a
   candidate shares with the last suffix put out and never compares it again.
-* A suffix's longest prefix shared with a neighbour bounds what any window of
-  its anchor can share, so only windows within that bound are left. They are
-  counted by their hashes, and those that occur twice are removed.
+  What lies before the anchors is sorted in the same way, read backwards.
+* The longest prefixes shared with a neighbour bound what any window of the
+  anchor can share to the right and to the left, so only windows within both
+  bounds are left. Their hashes meet by key, and those that occur twice are
+  removed.
 
 Texts stay where they are but for documents that have something to compare or
 to remove. Common strings are summed up in each task before every shuffle, and
@@ -39,11 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from adloom.llm import bloom
+from adloom.llm.sampling import smallest
 from adloom.llm.words import mix, powers, slices, span_hashes, text_bytes
 from adloom.llm.workspace import Workspace
 
 LENGTH = 400
-GRAM = 48
+GRAM = 160
 #: Bytes of texts worked on at once.
 PIECE = 1 << 19
 #: Suffixes of one sorted run.
@@ -235,13 +238,12 @@ def suffix_key(s: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True)
 
 
-def sorted_bounds(suffixes: DataFrame, range_bytes: int = 32 << 20) -> DataFrame:
-    """(key, shared): of every distinct value of the binary column ``right``, the longest prefix shared with another row's."""
-    spark = suffixes.sparkSession
-    size = suffixes.agg(F.sum(F.length("right"))).first()[0] or 0
+def sorted_bounds(suffixes: DataFrame, column: str, range_bytes: int = 32 << 20) -> DataFrame:
+    """(key, shared): of every distinct value of a binary column, the longest prefix shared with another row's."""
+    suffixes = suffixes.select(F.col(column).alias("s"), F.xxhash64(column, "rid").alias("h"))
+    size = suffixes.agg(F.sum(F.length("s"))).first()[0] or 0
     ranges = max(1, -(-size // range_bytes), min(64, -(-size // (1 << 20))))
-    some = suffixes.select("right").orderBy(F.xxhash64("right", F.lit(7))).limit(SAMPLE).collect() if ranges > 1 else []
-    sample = sorted({bytes(r.right) for r in some})
+    sample = sorted({bytes(r.s) for r in smallest(suffixes, F.col("h"), SAMPLE).collect()}) if ranges > 1 else []
     splitters = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)} if sample else set())
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +286,7 @@ def sorted_bounds(suffixes: DataFrame, range_bytes: int = 32 << 20) -> DataFrame
         if blobs:
             yield done(now, blobs)
 
-    sent = suffixes.select("right").mapInArrow(runs, "range int, run binary")
+    sent = suffixes.select("s").mapInArrow(runs, "range int, run binary")
     dealt = sent.repartition(min(len(splitters) + 1, 4096), "range").sortWithinPartitions("range")
     return dealt.mapInArrow(merge, "key long, shared int")
 
@@ -293,37 +295,46 @@ def sorted_bounds(suffixes: DataFrame, range_bytes: int = 32 << 20) -> DataFrame
 
 
 def _anchor_rows(texts: DataFrame) -> DataFrame:
+    """(k, gram, context, rid, at, first, last) of every anchor; ``rid`` is a number of the row's own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text", PIECE):
-                owner, anchor, first, last, gram, context = anchors(*text_bytes(part.column(1)))
-                starts = text_bytes(part.column(1))[1][owner]
-                ints = [pa.array((x - starts).astype(np.int32)) for x in (anchor, first, last)]
+                raw, starts = text_bytes(part.column(1))
+                owner, anchor, first, last, gram, context = anchors(raw, starts)
+                ints = [pa.array((x - starts[owner]).astype(np.int32)) for x in (anchor, first, last)]
                 hashes = [pa.array(x.view(np.int64)) for x in (gram, context)]
+                own = pa.array(np.arange(rid, rid + len(owner)))
+                rid += len(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(owner)), *hashes, *ints], ["k", "gram", "context", "at", "first", "last"]
+                    [part.column(0).take(pa.array(owner)), *hashes, own, *ints],
+                    ["k", "gram", "context", "rid", "at", "first", "last"],
                 )
 
-    return texts.mapInArrow(run, "k long, gram long, context long, at int, first int, last int")
+    return texts.mapInArrow(run, "k long, gram long, context long, rid long, at int, first int, last int")
 
 
 def _contexts(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """The bytes of every member's context before (``left``) and from (``right``) its anchor."""
-    lists = members.groupBy("k").agg(F.collect_list(F.struct("gram", "context", "alone", "at", "first", "last")).alias("m"))
+    """Of every member the bytes from its anchor on (``right``), those before it backwards (``left``), and their keys."""
+    lists = members.groupBy("k").agg(F.collect_list(F.struct("gram", "rid", "alone", "at", "first", "last")).alias("m"))
     known = bloom.build(members.select("k").distinct(), "k")
     some = texts.where(bloom.may_match(known, F.col("k"))).dropDuplicates(["k"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k", "gram", "context", "alone", "at", "first", "last", "left", "right", "key"]
-        kinds = [pa.int64()] * 3 + [pa.bool_()] + [pa.int32()] * 3 + [pa.binary()] * 2 + [pa.int64()]
+        names = ["k", "gram", "rid", "alone", "at", "first", "last", "left", "right", "left_key", "right_key"]
+        kinds = [pa.int64()] * 3 + [pa.bool_()] + [pa.int32()] * 3 + [pa.binary()] * 2 + [pa.int64()] * 2
         schema = pa.schema(list(zip(names, kinds, strict=True)))
         for batch in batches:
             rows = []
             for k, text, m in zip(*(batch.column(i) for i in range(3)), strict=True):
                 raw = text.as_py().encode()
                 for x in m.as_py():
-                    left, right = raw[x["first"] : x["at"]], raw[x["at"] : x["last"] + LENGTH]
-                    rows.append({"k": k.as_py(), **x, "left": left, "right": right, "key": suffix_key(right)})
+                    left, right = raw[x["first"] : x["at"]][::-1], raw[x["at"] : x["last"] + LENGTH]
+                    keys = {"left_key": suffix_key(left), "right_key": suffix_key(right)}
+                    rows.append({"k": k.as_py(), **x, "left": left, "right": right, **keys})
                 if len(rows) >= 5000:
                     yield pa.RecordBatch.from_pylist(rows, schema)
                     rows = []
@@ -333,59 +344,101 @@ def _contexts(texts: DataFrame, members: DataFrame) -> DataFrame:
     joined = some.join(lists, "k").select("k", "text", "m")
     return joined.mapInArrow(
         run,
-        "k long, gram long, context long, alone boolean, at int, first int, last int, left binary, right binary, key long",
+        "k long, gram long, rid long, alone boolean, at int, first int, last int, left binary, right binary, "
+        "left_key long, right_key long",
     )
 
 
-def _open_windows(contexts: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Hashes of the windows of every context that its suffix's bound leaves open: (gram, before, window, k, first, alone)."""
+def _open_windows(contexts: DataFrame, open_: DataFrame) -> DataFrame:
+    """(window, place, k, first, alone) of the windows that begin from ``most`` down to ``least`` bytes before the anchor.
+
+    ``window`` is the hash of its bytes, ``place`` one of the gram and of where in it the window begins.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, gram, alone, at, first, last, shared = (batch.column(i).to_pylist() for i in range(7))
+            k, gram, alone, at, first, least, most = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
             out = []
             for i, (left, right) in enumerate(zip(batch.column(7), batch.column(8), strict=True)):
-                # A window that begins d bytes before the anchor needs LENGTH - d shared bytes from it.
-                least = max(at[i] - last[i], LENGTH - shared[i])
-                begins = np.arange(first[i], at[i] - least + 1)
-                if not len(begins):
-                    continue
-                raw = np.frombuffer(left.as_py() + right.as_py(), np.uint8)
-                hashes = span_hashes(raw, begins - first[i], begins - first[i] + LENGTH, lower=False)
-                n = len(begins)
-                out.append((np.full(n, gram[i]), at[i] - begins, hashes.view(np.int64), np.full(n, k[i]), begins, np.full(n, alone[i])))
-            if out:
-                g, d, h, kk, b, a = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g), pa.array(d.astype(np.int32)), pa.array(h), pa.array(kk), pa.array(b.astype(np.int32)), pa.array(a)],
-                    ["gram", "before", "window", "k", "first", "alone"],
-                )
+                raw = np.frombuffer(left.as_py()[::-1] + right.as_py(), np.uint8)
+                before = np.arange(most[i], least[i] - 1, -1)
+                begins = at[i] - first[i] - before
+                place = mix(np.uint64(gram[i].view(np.uint64)) ^ mix(before.astype(np.uint64) + np.uint64(1)))
+                window = span_hashes(raw, begins, begins + LENGTH, lower=False)
+                out.append((window, place, np.full(len(before), k[i]), begins + first[i], np.full(len(before), alone[i])))
+                if len(out) == 500 or i == batch.num_rows - 1:
+                    w, p, kk, b, a = (np.concatenate(x) for x in zip(*out, strict=True))
+                    columns = [w.view(np.int64), p.view(np.int64), kk, b.astype(np.int32), a]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["window", "place", "k", "first", "alone"])
+                    out = []
+
+    known = bloom.build(open_.select(F.xxhash64("rid").alias("h")), "h")
+    rows = contexts.where(bloom.may_match(known, F.xxhash64("rid"))).join(open_, "rid")
+    rows = rows.select("k", "gram", "alone", "at", "first", "least", "most", "left", "right")
+    return rows.mapInArrow(run, "window long, place long, k long, first int, alone boolean")
+
+
+def _repeated(windows: DataFrame) -> DataFrame:
+    """(k, low, high) of the ``alone`` windows that some other row equals; of each batch only the last row is kept."""
 
-    rows = contexts.join(bounds, "key").select("k", "gram", "alone", "at", "first", "last", "shared", "left", "right")
-    return rows.mapInArrow(run, "gram long, before int, window long, k long, first int, alone boolean")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, equal = None, False  # the last row, and whether it equals the one before it
+
+        def spans(rows, chosen):
+            chosen = chosen & rows[4]
+            low = rows[3][chosen]
+            return pa.RecordBatch.from_arrays([pa.array(rows[2][chosen]), pa.array(low), pa.array(low + np.int32(LENGTH))], ["k", "low", "high"])
+
+        for batch in batches:
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            if not len(rows[0]):
+                continue
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            same = (rows[0][1:] == rows[0][:-1]) & (rows[1][1:] == rows[1][:-1])
+            chosen = np.concatenate([[equal], same]) | np.concatenate([same, [False]])
+            yield spans([x[:-1] for x in rows], chosen[:-1])
+            held, equal = [x[-1:] for x in rows], bool(chosen[-1])
+        if held is not None:
+            yield spans(held, np.array([equal]))
+
+    parts = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = windows.repartition(parts, "window", "place").sortWithinPartitions("window", "place")
+    return dealt.mapInArrow(run, "k long, low int, high int")
 
 
 def repeated_spans(texts: DataFrame, space: Workspace) -> DataFrame:
-    """(k, low, high): overlapping spans of bytes to remove, distinct, for rows (k, text) of at least ``LENGTH`` bytes."""
+    """(k, low, high): overlapping spans of bytes to remove, for rows (k, text) of at least ``LENGTH`` bytes."""
     rows = space.stage(_anchor_rows(texts), "anchors")
     twice = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    known = bloom.build(twice, "gram", 27)
-    rows = rows.where(bloom.may_match(known, F.col("gram")))
+    rows = rows.where(bloom.may_match(bloom.build(twice, "gram", 27), F.col("gram")))
     # One row per distinct context, with one place where it occurs; grams let through by chance have one context, once.
-    distinct = rows.groupBy("gram", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "at", "first", "last")).alias("m")
-    )
+    distinct = rows.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("rid"))
     distinct = space.stage(distinct, "contexts")
     settled = distinct.where("n > 1").select("gram", "context")
+    whole = rows.join(settled, ["gram", "context"], "left_semi")
+    whole = space.stage(whole.select("k", F.col("first").alias("low"), (F.col("last") + LENGTH).alias("high")), "whole")
+
     several = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("gram")
-    members = distinct.join(several, "gram").select("gram", "context", (F.col("n") == 1).alias("alone"), "m.*")
-    contexts = space.stage(_contexts(texts, space.stage(members, "members")), "suffixes")
-    bounds = space.stage(sorted_bounds(contexts), "bounds")
-    windows = space.stage(_open_windows(contexts, bounds), "windows")
-    keys = ["gram", "before", "window"]
-    repeated = windows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
-    single = windows.where("alone").join(repeated, keys, "left_semi").select("k", F.col("first").alias("low"), (F.col("first") + LENGTH).alias("high"))
-    whole = rows.join(settled, ["gram", "context"], "left_semi").select("k", F.col("first").alias("low"), (F.col("last") + LENGTH).alias("high"))
+    chosen = space.stage(distinct.join(several, "gram").select("rid", (F.col("n") == 1).alias("alone")), "chosen")
+    known = bloom.build(chosen.select(F.xxhash64("rid").alias("h")), "h")
+    members = rows.drop("context").where(bloom.may_match(known, F.xxhash64("rid"))).join(chosen, "rid")
+    members = space.stage(members, "members")
+    space.drop("anchors")
+    space.drop("contexts")
+
+    contexts = space.stage(_contexts(texts, members), "suffixes")
+    bounds = [
+        space.stage(sorted_bounds(contexts, side).select(F.col("key").alias(f"{side}_key"), F.col("shared").alias(f"{side}_shared")), side)
+        for side in ("right", "left")
+    ]
+    small = contexts.select("rid", "at", "first", "last", "left_key", "right_key")
+    bound = small.join(bounds[0], "right_key").join(bounds[1], "left_key")
+    # A window that begins d bytes before the anchor needs d shared bytes before it and LENGTH - d from it on.
+    least = F.greatest(F.col("at") - F.col("last"), LENGTH - F.col("right_shared")).alias("least")
+    most = F.least(F.col("at") - F.col("first"), F.col("left_shared")).alias("most")
+    open_ = space.stage(bound.select("rid", least, most).where("least <= most"), "open")
+    single = space.stage(_repeated(_open_windows(contexts, open_)), "single")
     return whole.unionAll(single)
 
 
@@ -401,7 +454,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     spans = repeated_spans(long, space)
     lists = spans.groupBy("k").agg(F.collect_set(F.struct("low", "high")).alias("spans"))  # bounded by one text
     lists = space.stage(lists, "spans")
-    for name in ("anchors", "contexts", "members", "suffixes", "bounds", "windows"):
+    for name in ("chosen", "members", "suffixes", "left", "right", "open", "whole", "single"):
         space.drop(name)
     known = bloom.build(lists.select("k"), "k")
     touched = bloom.may_match(known, F.col("k"))

@@ -13,6 +13,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
@@ -129,7 +130,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
     """Cut a batch so that the texts of a piece have about ``most`` bytes at most, or it is one row."""
     at = batch.schema.get_field_index(column)
     texts = batch.column(at)
-    sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0)).astype(np.int64)
+    sizes = np.asarray(pc.binary_length(texts).fill_null(0)).astype(np.int64)
     ends = np.cumsum(sizes)
     low = 0
     while low < batch.num_rows:

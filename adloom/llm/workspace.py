@@ -15,6 +15,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _own: str | None = None
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,6 +41,9 @@ def importable(spark: SparkSession) -> None:
     paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(":") if p]
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([*paths, root])
+    # Rows are whole texts: batches of the default size would hold tens of MB on both sides.
+    if int(spark.conf.get(BATCH)) > 2000:
+        spark.conf.set(BATCH, "2000")
 
 
 class Workspace:
@@ -51,7 +55,7 @@ class Workspace:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
