@@ -9,9 +9,11 @@ Pairs that survive are verified on their full sets.
 Spark routes documents that can link to the same tree. By size class, hashes
 are cut into ranges; documents of Jaccard t differ in at most r = (1 - t) / t *
 size hashes, so of the first r + 1 ranges that hold any hash at least one is
-equal in both. Documents that share an equal range are candidates of each
-other, and connected candidates make a cluster. No other document can link to
-one of the cluster. Equal sets are one node from the start.
+equal in both. Points that share an equal range meet in a tree and are
+candidates of each other if their coordinates allow a link; connected
+candidates make a cluster. No other document can link to one of the cluster, so
+a second tree over the cluster, now with the sets at hand, finds its links.
+Equal sets are one node from the start.
 
 A cluster above ``block`` documents is never one task: it is cut into blocks
 along the tree's order. First every block meets a few pivots; then documents
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -41,10 +44,13 @@ from adloom.llm.components import components
 from adloom.llm.words import mix, shingles, slices, word_hashes
 from adloom.llm.workspace import Workspace, spare_name
 
-#: Coordinates of a point.
-GROUPS = 32
+#: Coordinates of a point: the noise of counts needs more groups in larger sets. (Least size, groups), powers of two.
+GROUPS = ((0, 64), (819, 256), (6553, 1024))
+LEAST_GROUPS = GROUPS[0][1]
 #: Points below one node of the tree.
 LEAF = 32
+#: Rows of one key that are compared pair by pair rather than in a tree.
+FEW = 8
 #: Below this many hashes, a range is a single hash.
 SINGLE = 32
 
@@ -59,9 +65,31 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield np.unique(shingles(words[at[i] : at[i + 1]], size))
 
 
-def point(hashes: np.ndarray) -> np.ndarray:
-    """How many of the hashes fall into each group (by their lowest bits)."""
-    return np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+def groups_of(size: int) -> int:
+    return next(g for least, g in reversed(GROUPS) if size >= least)
+
+
+def packed_point(hashes: np.ndarray) -> bytes:
+    """How many of the hashes fall into each group (by their lowest bits), up to 255, a byte each."""
+    groups = groups_of(len(hashes))
+    counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def points_of(packed: list[bytes], sizes: np.ndarray, groups: int | None = None) -> np.ndarray:
+    """Points as rows of counts, and the hashes above 255 of a group; in ``groups`` groups or as many as all have.
+
+    Groups go by the lowest bits of a hash, so fewer groups are sums of more.
+    """
+    lengths = np.array([len(p) for p in packed])
+    groups = groups or int(lengths.min())
+    out = np.empty((len(packed), groups + 1), np.int32)
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        counts = np.frombuffer(b"".join([packed[i] for i in at]), np.uint8).reshape(len(at), length // groups, groups)
+        out[at, :groups] = counts.sum(1, dtype=np.int32)
+    out[:, groups] = sizes - out[:, :groups].sum(1)
+    return out
 
 
 def set_key(hashes: np.ndarray) -> int:
@@ -80,7 +108,8 @@ def _ranges(level: int, percent: int) -> int:
     if top <= SINGLE:
         return 0
     differ = (100 - percent) * top // percent
-    return max(2 * (differ + 1), 1) if top <= 4 * SINGLE else (3 * (differ + 1)) // 2
+    # Enough that far more than r + 1 ranges hold a hash, however the hashes fall; few, as a range of many hashes tells more.
+    return (differ + 1) * (200 if top <= 4 * SINGLE else 150 if top <= 16 * SINGLE else 115) // 100
 
 
 def route_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
@@ -181,17 +210,27 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def join_block(sets: list[np.ndarray], first: int, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected: among all of ``sets``, or, if first > 0, between the first ones and the others."""
-    points = np.stack([point(s) for s in sets])
-    sizes = np.array([len(s) for s in sets])
-    tree, union, out = RTree(points, sizes), Union(len(sets)), []
-    for i in range(first or len(sets)):
+def join_block(
+    points: np.ndarray, sizes: np.ndarray, percent: int, sets: list[np.ndarray] | None = None, first: int = 0
+) -> list[tuple[int, int]]:
+    """Links that connect what is connected: among all points, or, if first > 0, between the first ones and the others.
+
+    Without ``sets`` every pair whose points allow a link counts as one. The
+    search begins at the middle of all points: what is in its part by the time
+    of its turn needs no search, as whatever links to it from outside finds it.
+    """
+    tree, union, out = RTree(points, sizes), Union(len(sizes)), []
+    middle = -1 if first else int(np.abs(points - np.median(points, 0)).sum(1).argmin())
+    done = np.zeros(len(sizes), bool)
+    for i in range(first) if first else [middle, *range(len(sizes))]:
+        if done[i] or (i != middle and middle >= 0 and union.find(i) == union.find(middle)):
+            continue
+        done[i] = True
         for place in tree.search(points[i], int(sizes[i]), percent):
             j = int(tree.order[place])
-            if (j < first if first else j <= i) or union.find(i) == union.find(j):
+            if j == i or (j < first if first else done[j]) or union.find(i) == union.find(j):
                 continue
-            if linked(sets[i], sets[j], percent):
+            if sets is None or linked(sets[i], sets[j], percent):
                 union.join(i, j)
                 out.append((i, j))
     return out
@@ -212,7 +251,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def _list_values(column: pa.Array) -> list[np.ndarray]:
     flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    ends = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(column)).astype(np.int64))])
+    ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(column)).astype(np.int64))])
     return [flat[ends[i] : ends[i + 1]] for i in range(len(column))]
 
 
@@ -221,33 +260,117 @@ def row_key(doc_id: str, text: str):
 
 
 def _signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(k, doc_id, n, node, keys) of every row; ``node`` is the key of the set, null if it is empty."""
+    """(k, doc_id, n, node, point, keys) of every row; ``node`` is the key of the set, null if it is empty.
+
+    Of equal sets in one task only the first has its point and keys.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int | None] = {None}
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = list(shingle_sets(part.column(2), size))
                 nodes = [set_key(s) if len(s) else None for s in sets]
+                new = [node not in seen and not seen.add(node) for node in nodes]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(1),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(nodes, pa.int64()),
-                        _lists([route_keys(s, percent) for s in sets]),
+                        pa.array([packed_point(s) if ok else None for s, ok in zip(sets, new)], pa.binary()),
+                        _lists([route_keys(s if ok else s[:0], percent) for s, ok in zip(sets, new)]),
                     ],
-                    ["k", "doc_id", "n", "node", "keys"],
+                    ["k", "doc_id", "n", "node", "point", "keys"],
                 )
 
-    return docs.mapInArrow(run, "k long, doc_id long, n long, node long, keys array<long>")
+    return docs.mapInArrow(run, "k long, doc_id long, n long, node long, point binary, keys array<long>")
 
 
-def _candidate_edges(signatures: DataFrame) -> DataFrame:
-    """(a, b): every node that shares a key with others, and the smallest node that has the key."""
-    rows = signatures.where("node IS NOT NULL").select(F.explode("keys").alias("key"), "node")
+def _candidate_edges(signatures: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): edges that connect all nodes that share a key and whose points allow a link."""
+    one = signatures.where("point IS NOT NULL")
+    rows = one.select(F.explode("keys").alias("key"), "node")
     # Summed up before the shuffle: equal sets and common keys cost one row per task.
     shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    return rows.join(shared.select("key", "least"), "key").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    met = rows.join(shared.select("key"), "key").distinct()
+    points = one.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the rows of the last key, which may go on in the next batch
+        large = head = None  # a key with more than ``block`` rows, and its first node
+        for batch in batches:
+            rows = [batch.column(i).to_numpy() for i in range(3)]
+            rows.append(np.array([*batch.column(3).to_pylist(), None], object)[:-1])
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            if large is not None:
+                more = int(np.searchsorted(rows[0], large, "right"))
+                yield from _edge_batches(np.full(more, head), rows[1][:more])
+                rows = [x[more:] for x in rows]
+            if not len(rows[0]):
+                held = None
+                continue
+            last = int(np.searchsorted(rows[0], rows[0][-1]))
+            yield from _edge_batches(*_meet([x[:last] for x in rows], percent, block))
+            held, large = [x[last:] for x in rows], None
+            if len(held[0]) > block:  # too many for one tree: all of them are candidates
+                large, head = held[0][0], held[1][0]
+                yield from _edge_batches(np.full(len(held[1]) - 1, head), held[1][1:])
+                held = None
+        if held is not None:
+            yield from _edge_batches(*_meet(held, percent, block))
+
+    dealt = met.join(points, "node").select("key", "node", "n", "point")
+    dealt = dealt.repartition(_partitions(signatures.sparkSession), "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _meet(rows: list[np.ndarray], percent: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges among the rows (key, node, n, packed point) of each of the whole keys given, sorted by key."""
+    key, node, n, packed = rows
+    if not len(key):
+        return node, node
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    count = np.diff(np.append(begin, len(key)))
+    of_row = np.repeat(count, count)
+    # Few rows: their pairs, each once however many keys it shares.
+    pairs = []
+    for step in range(1, FEW):
+        at = np.flatnonzero((key[step:] == key[:-step]) & (of_row[step:] <= FEW))
+        pairs.append(np.column_stack([at, at + step]))
+    pairs = np.concatenate(pairs)
+    a, b = node[pairs[:, 0]], node[pairs[:, 1]]
+    _, fresh = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0, return_index=True)
+    pairs = pairs[fresh]
+    coarse, good = points_of(packed, n, LEAST_GROUPS), []
+    for low in range(0, len(pairs), 1 << 15):
+        i, j = pairs[low : low + (1 << 15)].T
+        close = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        good.append(close & (np.minimum(coarse[i], coarse[j]).sum(1) >= needed(n[i], n[j], percent)))
+    pairs = pairs[np.concatenate(good)] if good else pairs
+    fine = [len(packed[i]) == LEAST_GROUPS or len(packed[j]) == LEAST_GROUPS or _allows(packed, n, i, j, percent) for i, j in pairs]
+    pairs = pairs[np.array(fine, bool)]
+    out = [np.column_stack([node[pairs[:, 0]], node[pairs[:, 1]]])]
+    for low, m in zip(begin[count > FEW], count[count > FEW], strict=True):
+        own = slice(low, low + m)
+        if m > block:
+            out.append(np.column_stack([np.full(m - 1, node[low]), node[low + 1 : low + m]]))
+            continue
+        found = join_block(points_of(packed[own], n[own]), n[own], percent)
+        out += [node[own][np.array(found)]] if found else []
+    edges = np.concatenate(out)
+    return edges[:, 0], edges[:, 1]
+
+
+def _allows(packed: np.ndarray, n: np.ndarray, i: int, j: int, percent: int) -> bool:
+    at = [i, j]
+    return np.minimum(*points_of(packed[at], n[at])).sum() >= needed(n[i], n[j], percent)
+
+
+def _edge_batches(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(a):
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _stream_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[int], list[np.ndarray], list[bool]]]:
@@ -273,10 +396,13 @@ def _links(groups: DataFrame, percent: int, partitions: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, nodes, sets, halves in _stream_groups(batches):
             first = sum(h == 0 for h in halves) if any(halves) else 0
-            pairs = join_block(sets, first, percent) if not any(halves) or first else []
+            if any(halves) and not first:
+                continue
+            sizes = np.array([len(s) for s in sets])
+            points = points_of([packed_point(s) for s in sets], sizes)
+            pairs = join_block(points, sizes, percent, sets, first)
             if pairs:
-                columns = [pa.array([nodes[i] for i in side], pa.int64()) for side in zip(*pairs, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+                yield from _edge_batches(*np.array(nodes, np.int64)[np.array(pairs)].T)
 
     dealt = groups.select("g", "half", "node", "hashes").repartition(partitions, "g").sortWithinPartitions("g", "half")
     return dealt.mapInArrow(run, "a long, b long")
@@ -314,7 +440,8 @@ def link_nodes(sets: DataFrame, space: Workspace, percent: int, block: int, pivo
     # Blocks along the tree's order: by size, then by the counts of the first groups.
     def boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = [point(s).astype(np.int64).view(np.uint64) for s in _list_values(batch.column(2))]
+            sets = _list_values(batch.column(2))
+            points = [points_of([packed_point(s)], np.array([len(s)]), LEAST_GROUPS)[0].astype(np.uint64) for s in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns, _lists(points)], ["cluster", "node", "hashes", "point"])
 
     big = sets.join(large, "cluster").select("cluster", "node", "hashes")
@@ -347,15 +474,15 @@ def link_nodes(sets: DataFrame, space: Workspace, percent: int, block: int, pivo
     best = counts.groupBy("cluster").agg(F.max_by("part", F.struct("count", "part")).alias("main"))
     rest = placed.join(best, "cluster").where("part <> main").select("cluster", "block", "node", "hashes", "point")
     rest = space.stage(rest, "rest")
-    high = [F.max(F.col("point")[i]).alias(f"h{i}") for i in range(GROUPS)]
+    high = [F.max(F.col("point")[i]).alias(f"h{i}") for i in range(LEAST_GROUPS + 1)]
     bounds = spread.groupBy("cluster", "block").agg(
         F.min(F.size("hashes")).alias("least"), F.max(F.size("hashes")).alias("most"), *high
     )
     bounds = bounds.select(
-        "cluster", F.col("block").alias("other"), "least", "most", F.array(*[f"h{i}" for i in range(GROUPS)]).alias("high")
+        "cluster", F.col("block").alias("other"), "least", "most", F.array(*[f"h{i}" for i in range(LEAST_GROUPS + 1)]).alias("high")
     )
     n = F.size("hashes")
-    overlap = F.aggregate(F.zip_with("point", "high", F.least), F.lit(0).cast("long"), lambda x, y: x + y)
+    overlap = F.aggregate(F.zip_with("point", "high", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
     least = F.greatest(F.col("least"), F.ceil(percent * n / 100))
     reach = (100 * F.least("most", n) >= percent * F.greatest("least", n)) & (
         (100 + percent) * overlap >= percent * (n + least)
@@ -396,11 +523,11 @@ def _components(docs, doc_id, text, size, percent, block) -> DataFrame:
     space = Workspace(docs.sparkSession, "ngram-join")
     texts = docs.select(row_key(doc_id, text).alias("k"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signatures = space.stage(_signatures(texts, size, percent), "signatures")
-    clusters = components(_candidate_edges(signatures), space, "clusters")
+    clusters = components(_candidate_edges(signatures, percent, block), space, "clusters")
     clusters = clusters.unionAll(clusters.select(F.col("root").alias("node"), "root").distinct())
     clusters = space.stage(clusters.withColumnRenamed("root", "cluster"), "members")
 
-    nodes = space.stage(signatures.drop("keys"), "nodes")
+    nodes = space.stage(signatures.drop("keys", "point"), "nodes")
     space.drop("signatures")
     named = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("k").alias("k"))
     members = space.stage(clusters.join(named, "node"), "clusters")

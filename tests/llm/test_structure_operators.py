@@ -316,7 +316,8 @@ def test_tree_reaches_every_point_that_can_link():
     rng = np.random.default_rng(8)
     sets = [np.unique(rng.integers(0, 1 << 63, rng.integers(1, 80)).astype(np.uint64)) for _ in range(400)]
     sets += [np.unique(np.concatenate([s[2:], rng.integers(0, 1 << 63, 2).astype(np.uint64)])) for s in sets[:200]]
-    points, sizes = np.stack([ngram_join.point(s) for s in sets]), np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    points = ngram_join.points_of([ngram_join.packed_point(s) for s in sets], sizes)
     tree = ngram_join.RTree(points, sizes)
     for i in range(0, 600, 7):
         found = set(tree.order[tree.search(points[i], int(sizes[i]), 85)].tolist())
