@@ -26,25 +26,36 @@ from adloom.llm.workspace import Workspace, spare_name
 LOG_REGISTERS = 12
 #: Estimates within this share of the threshold are counted exactly: over five standard errors.
 NEAR = 0.1
+#: Parts that the rows of a line are dealt to, so that a line on a third of all pages is no single task's work.
+SALTS = 16
 
 
 def _line_key(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
+def _of_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows (h, salt, ...) whose ``h`` is in ``lines``."""
+    salted = lines.select("h", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("salt"))
+    return rows.join(salted, ["h", "salt"], "left_semi")
+
+
 def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
-    """Hashes ``h`` of the lines on at least ``min_sites`` distinct sites, from rows (h, site)."""
+    """Hashes ``h`` of the lines on at least ``min_sites`` distinct sites, from rows (h, salt, site)."""
     frequent = lines.groupBy("h").count().where(F.col("count") >= min_sites).select("h")
-    seen = lines.join(frequent, "h", "left_semi")
-    sketches = seen.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"))
+    seen = _of_lines(lines, frequent)
+    partial = seen.groupBy("h", "salt").agg(F.hll_sketch_agg("site", F.lit(LOG_REGISTERS)).alias("sketch"))
+    sketches = partial.groupBy("h").agg(F.hll_union_agg("sketch").alias("sketch"))
     estimates = sketches.select("h", F.hll_sketch_estimate("sketch").alias("sites"))
     low, high = min_sites * (1 - NEAR) - 1, min_sites * (1 + NEAR) + 1
     clear = estimates.where(F.col("sites") > high).select("h")
     near = estimates.where(F.col("sites").between(low, high)).select("h")
     exact = (
-        seen.join(near, "h", "left_semi")
-        .select("h", "site")
+        _of_lines(seen, near)
         .where(F.col("site").isNotNull())
+        .select("h", "salt", "site")
+        .distinct()
+        .select("h", "site")
         .distinct()
         .groupBy("h")
         .count()
@@ -68,12 +79,13 @@ def drop_boilerplate(
     # Decisions hang on the line alone, so documents may share a key: their sets of bad lines are merged, and each uses its own.
     keyed = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)))
     lines = keyed.select(F.col(key).alias("k"), F.col(site).alias("site"), F.explode(F.split(F.col(text), "\n")).alias("line"))
-    lines = lines.where(F.trim("line") != "").select("k", "site", _line_key(F.col("line")).alias("h"))
+    salt = F.pmod(F.xxhash64("k"), F.lit(SALTS)).alias("salt")
+    lines = lines.where(F.trim("line") != "").select("k", "site", _line_key(F.col("line")).alias("h"), salt)
     lines = space.stage(lines, "lines")
-    spread = space.stage(spread_lines(lines.select("h", "site"), min_sites), "spread")
+    spread = space.stage(spread_lines(lines.select("h", "salt", "site"), min_sites), "spread")
 
-    hit = lines.select("k", "h").join(spread, "h", "left_semi").distinct()
-    hits = hit.groupBy("k").agg(F.collect_set("h").alias("h"))  # distinct lines of one document
+    hits = _of_lines(lines.select("k", "h", "salt"), spread)
+    hits = hits.groupBy("k").agg(F.collect_set("h").alias("h"))  # distinct lines of one document
     joined = keyed.join(hits.select(F.col("k").alias(key), F.col("h").alias(bad)), key, "left")
 
     split = F.split(F.col(text), "\n")
