@@ -91,9 +91,10 @@ class Model:
 
 
 def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
-    """FTRL-proximal, one document at a time; coordinate 2^bits is the intercept, which has no L1 term."""
-    size = 1 << s.bits
+    """FTRL-proximal, one document at a time; the place after all coordinates met is the intercept, which has no L1 term."""
     l1 = s.penalty(len(samples))
+    known = np.unique(np.concatenate([np.zeros(0, np.int32), *samples]))
+    size = len(known)
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weight(at: np.ndarray) -> np.ndarray:
@@ -102,7 +103,7 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
         w = -(zs - np.sign(zs) * pull) / ((s.beta + np.sqrt(n[at])) / s.alpha + s.l2)
         return np.where(np.abs(zs) <= pull, 0.0, w)
 
-    samples = [np.append(np.unique(x), np.int32(size)).astype(np.int32) for x in samples]
+    samples = [np.append(np.searchsorted(known, np.unique(x)), size).astype(np.int32) for x in samples]
     for step in range(s.passes):
         for i in np.random.default_rng(step).permutation(len(samples)):
             at = samples[i]
@@ -115,7 +116,7 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
             n[at] = squares + g * g
     final = weight(np.arange(size + 1))
     where = np.flatnonzero(final[:size])
-    return Model(s.bits, float(final[size]), where.astype(np.int32), final[where].astype(np.float32))
+    return Model(s.bits, float(final[size]), known[where].astype(np.int32), final[where].astype(np.float32))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, s: Settings = Settings()) -> Model:
@@ -138,7 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, s:
     # A gradient is less than 1, so a coordinate met too rarely to add up to the L1 term keeps a weight of zero.
     often = np.bincount(flat, minlength=1) * s.passes > s.penalty(len(ids))
     kept = often[flat]
-    flat, starts = flat[kept], np.concatenate([[0], np.cumsum(kept)])[starts]
+    flat, starts = flat[kept], np.concatenate([[0], np.cumsum(kept, dtype=np.int32)])[starts]
+    del learned, at, kept, often
     order = np.argsort(ids)
     return fit([flat[starts[i] : starts[i + 1]] for i in order], labels[order], s)
 
