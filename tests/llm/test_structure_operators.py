@@ -91,9 +91,9 @@ def test_archives_of_odd_pages(spark):
 
 def test_archives_are_plain_zstd_with_a_leading_dictionary(spark, data):
     space = Workspace(spark, "test-warc")
-    pages = spark.read.parquet(f"{data}/pages.parquet")
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     manifest = space.stage(warc.write_archives(pages, f"{space.folder}/a", archive_bytes=20_000), "manifest")
-    paths = [r.path.removeprefix("file://") for r in manifest.collect()]
+    paths = [re.sub("^file:/+", "/", r.path) for r in manifest.collect()]
     assert len(paths) > 1 and sum(r.records for r in manifest.collect()) == pages.count()
     raw = open(paths[0], "rb").read()
     assert raw[:4] == (0x184D2A5D).to_bytes(4, "little")
