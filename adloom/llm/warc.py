@@ -156,7 +156,7 @@ def _open_folder(uri: str):
 def train_dictionary(
     pages: DataFrame, page_id: str, url: str, payload: str, samples: int = 200, sample_bytes: int = 8192, size: int = 32768
 ) -> bytes | None:
-    """A dictionary from at most ``samples`` payloads, at most ``sample_bytes`` of each; None if they are too few.
+    """A dictionary from at most ``samples`` payloads, at most ``sample_bytes`` of each; None if there are none.
 
     It changes the size of the archives only.
     """
@@ -164,8 +164,8 @@ def train_dictionary(
     texts = [r.t.encode() for r in some.select(F.substring(F.col(payload), 1, sample_bytes).alias("t")).collect()]
     try:
         return zstandard.train_dictionary(size, texts).as_bytes()
-    except zstandard.ZstdError:
-        return None
+    except zstandard.ZstdError:  # too few samples to train from: their own bytes serve as the dictionary
+        return b"".join(t[: size // max(1, len(texts))] for t in texts) or None
 
 
 def with_record_types(pages: DataFrame, page_id: str, url: str, payload: str, least: int) -> DataFrame:
