@@ -7,8 +7,10 @@ seen fewer times than the threshold cannot reach it and get no sketch.
 
 A line is compared without leading and trailing spaces; empty lines are never
 boilerplate. A document that would lose more than ``most_lost`` of its
-characters is left as it is: it is a copy of other documents rather than a page
-with boilerplate in it, and copies are the near-duplicate operators' work.
+characters is left as it is, as the checking SQL has it. With ``copies_only``
+that holds for proven copies alone: texts that lie on two or more sites, which
+are the near-duplicate operators' work; every other document loses all its
+boilerplate lines, however much of it they are.
 
 Defined results: a null text stays null with no lines; a null site counts for
 no line; a null or repeated id changes nothing, as decisions hang on the line
@@ -65,6 +67,15 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return clear.unionByName(exact)
 
 
+def _copied(keyed: DataFrame, key: str, text: str, site: str) -> DataFrame:
+    """(key, copied): hashes of the texts of a key that lie on two or more sites."""
+    texts = keyed.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(site).alias("site"), F.xxhash64(text).alias("h"))
+    sites = texts.where(F.col("site").isNotNull()).select("h", "site").distinct().groupBy("h").count()
+    salted = texts.select("k", "h", F.pmod(F.xxhash64("k"), F.lit(SALTS)).alias("salt"))
+    found = _of_lines(salted, sites.where(F.col("count") > 1).select("h"))
+    return found.groupBy("k").agg(F.collect_set("h").alias("copied"))
+
+
 def drop_boilerplate(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -72,10 +83,11 @@ def drop_boilerplate(
     site: str = "source",
     min_sites: int = 10,
     most_lost: float = 0.5,
+    copies_only: bool = False,
 ) -> DataFrame:
     """``docs`` without boilerplate lines, plus ``n_lines`` and ``n_removed`` (names are kept free of clashes)."""
     space = Workspace(docs.sparkSession, "line-spread")
-    key, parts, bad = (spare_name(docs, n) for n in ("_key", "_parts", "_bad"))
+    key, parts, bad, copied = (spare_name(docs, n) for n in ("_key", "_parts", "_bad", "_copied"))
     # Decisions hang on the line alone, so documents may share a key: their sets of bad lines are merged, and each uses its own.
     keyed = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)))
     lines = keyed.select(F.col(key).alias("k"), F.col(site).alias("site"), F.explode(F.split(F.col(text), "\n")).alias("line"))
@@ -86,14 +98,21 @@ def drop_boilerplate(
 
     hits = _of_lines(lines.select("k", "h", "salt"), spread)
     hits = hits.groupBy("k").agg(F.collect_set("h").alias("h"))  # distinct lines of one document
-    joined = keyed.join(hits.select(F.col("k").alias(key), F.col("h").alias(bad)), key, "left")
+    if copies_only:
+        hits = hits.join(_copied(keyed, key, text, site), "k", "left")
+    else:
+        hits = hits.withColumn("copied", F.lit(None).cast("array<long>"))
+    joined = keyed.join(hits.select(F.col("k").alias(key), F.col("h").alias(bad), F.col("copied").alias(copied)), key, "left")
 
     split = F.split(F.col(text), "\n")
     whole = F.length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
     kept = F.filter(split, lambda x: ~F.array_contains(F.col(bad), _line_key(x)) | (F.trim(x) == ""))
     left = F.aggregate(F.col(parts), F.lit(0), lambda n, x: n + F.length(x))
     touched = joined.withColumn(parts, F.when(F.col(bad).isNotNull(), kept))
-    fits = F.col(parts).isNotNull() & (whole - left <= F.lit(most_lost) * whole)
+    fits = whole - left <= F.lit(most_lost) * whole
+    if copies_only:
+        fits = fits | ~F.coalesce(F.array_contains(copied, F.xxhash64(text)), F.lit(False))
+    fits = F.col(parts).isNotNull() & fits
     n_lines, n_removed = spare_name(docs, "n_lines"), spare_name(docs, "n_removed")
     return touched.select(
         *[

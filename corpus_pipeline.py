@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each written as Parquet and read again as the next one's input.
 
 1. toxicity: documents that the FTRL model rejects go.
-2. line spread: boilerplate lines that many sites share go; documents stay.
+2. line spread: boilerplate lines that many sites share go; documents stay, and
+   whole copies that lie on several sites keep their text for the next stage.
 3. n-gram Jaccard join: one document of each group of near duplicates stays.
 4. benchmark decontamination: documents that leak a benchmark item go.
 5. SentencePiece: the ids of every document's text.
@@ -32,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut lines that many sites share; n_chars follows the text."""
-    cleaned = line_spread.drop_boilerplate(docs).select(*docs.columns)
+    cleaned = line_spread.drop_boilerplate(docs, copies_only=True).select(*docs.columns)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -67,6 +67,20 @@ def test_line_spread_leaves_copies_and_odd_rows(spark):
     assert line_spread.drop_boilerplate(odd.limit(0)).count() == 0
 
 
+def test_pipeline_cuts_boilerplate_that_is_most_of_a_page(spark):
+    import corpus_pipeline
+
+    notice = "A long notice that every one of the sites shows below its pages, far longer than the pages are."
+    rows = [(i, f"Own {i}.\n{notice}", "en", f"s{i % 12}", 0) for i in range(24)]
+    rows += [(100 + i, "a copy\nof one text", "en", f"s{i}", 0) for i in range(30)]
+    rows += [(200, f"{notice}\nOnce more.", "en", None, 0), (0, "a copy\nof one text", "en", "s1", 0), (201, None, "en", "s1", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = [(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.boilerplate(spark, docs, "").collect()]
+    expected = [(i, f"Own {i}.", len(f"Own {i}.")) for i in range(24)] + [(i, "a copy\nof one text", 18) for i in [0, *range(100, 130)]]
+    expected += [(200, "Once more.", 10), (201, None, None)]
+    assert sorted(out, key=str) == sorted(expected, key=str)
+
+
 # --- models
 
 
