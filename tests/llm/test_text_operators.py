@@ -159,6 +159,24 @@ def test_templates_catch_new_numbers_and_names(spark):
     assert found[(0, 0)].n_changed == 0 and found[(1, 0)].n_changed >= 3
 
 
+def test_names_that_open_sentences_are_slots_too(spark):
+    item = "Tom has 5 apples. Anna has 7 apples. Tom gives Anna 2 apples. How many apples does Anna have?"
+
+    def swapped(tom, anna, *numbers):
+        return f"{tom} has {numbers[0]} apples. {anna} has {numbers[1]} apples. {tom} gives {anna} {numbers[2]} apples. How many apples does {anna} have?"
+
+    assert swapped("Tom", "Anna", 5, 7, 2) == item
+    texts = [item, swapped("Ben", "Eva", 3, 9, 4), f"Words before it. {swapped('Ben', 'Eva', 7, 9, 4)} And after.", swapped("Mary Ann Lee", "Eva", 3, 9, 4)]
+    texts += ["Ben sells 3 pears. Eva likes 9 plums. Ben meets Eva 4 times. How many plums does Eva like?", "Tom is here. How many apples does Anna have?"]
+    texts += ["Ben has 3 apples. Eva has 9 apples. Karl gives Hugo 4 apples. How many apples does Gina have?"]
+    found = leaked(spark, texts, [item])
+    assert {k[0] for k in found} == {0, 1, 2, 3}
+    assert {(r.n_windows, r.n_found) for k, r in found.items() if k[0] in (0, 1)} == {(15, 15)}
+    assert found[(0, 0)].n_changed == 0 and found[(1, 0)].n_changed == 5
+    full = leaked(spark, ["Well. Tom has 5 apples", "Anna Smith has 5 apples", "Anna Smith eats 5 apples"], ["Anna Smith has 7 apples"])
+    assert {k[0] for k in full} == {0, 1}
+
+
 def test_inconsistent_slots_do_not_count(spark):
     item = "Alice gives Bob apples and Alice takes plums from Bob then Alice meets Bob and Alice leaves Bob."
     ok = item.replace("Alice", "Carol").replace("Bob", "David")
