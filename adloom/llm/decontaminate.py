@@ -12,6 +12,10 @@ The first word of a sentence has a capital, name or not, so it is read both
 ways, as an ordinary word and as a name slot, in items and documents; a window
 of an item is found when any of its readings is.
 
+A name shows by its one capital, which text in all capitals or none lacks. So
+lower-cased texts are matched as well, where names are ordinary words (numbers
+and units stay slots); an item leaks by its templates or by its folded windows.
+
 Only windows that a fixed-size Bloom filter of benchmark windows lets through
 are shuffled, so the benchmark may be of any size.
 
@@ -32,6 +36,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from adloom.llm import bloom
@@ -135,6 +140,17 @@ def templates(texts: pa.Array) -> Templates:
 _NEXT = np.uint64(0x9FB21C651E98DF25)
 
 
+def folded(texts: pa.Array) -> pa.Array:
+    try:
+        return pc.utf8_lower(texts)
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        return pc.ascii_lower(texts)
+
+
+#: Readings of a text: as it is, and folded.
+READINGS = (lambda texts: templates(texts), lambda texts: templates(folded(texts)))
+
+
 def _prefixes(tokens: np.ndarray, size: int) -> list[np.ndarray]:
     """Hashes of the first 0 to ``size`` tokens from every token on, as part of a window of ``size``."""
     out = [np.full(len(tokens) + 1, size, np.uint64)]
@@ -164,17 +180,17 @@ def _named_paths(t: Templates, size: int, prefixes: list[np.ndarray]):
     return begin, now, hashes, choices
 
 
-def windows(t: Templates, size: int, known=None):
+def windows(t: Templates, size: int, known=None, reading: int = 0):
     """(text, begin, end, hash, slot values) of all readings of windows of ``size`` tokens with an ordinary word.
 
-    ``known``: a Bloom filter that the hash must pass.
+    ``known``: a Bloom filter that the hash, as seeded for ``reading``, must pass.
     """
     prefixes = _prefixes(t.tokens, size)
     plain = prefixes[size][: max(0, len(t.tokens) - size + 1)]
     begin, end, hashes, choices = _named_paths(t, size, prefixes)
     if known is not None:
-        found = np.flatnonzero(bloom.maybe(known, plain))
-        some = bloom.maybe(known, hashes)
+        found = np.flatnonzero(bloom.maybe(known, _seeded(plain, reading)))
+        some = bloom.maybe(known, _seeded(hashes, reading))
         begin, end, hashes, choices = begin[some], end[some], hashes[some], choices[some]
     else:
         found = np.arange(len(plain))
@@ -226,28 +242,40 @@ def _slot_lists(slots: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, slots.size + 1, WINDOW, dtype=np.int32)), flat)
 
 
+def _seeded(hashes: np.ndarray, reading: int) -> np.ndarray:
+    """Hashes that differ between readings."""
+    return mix(hashes + np.uint64(reading)) if reading else hashes
+
+
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """Distinct (item, plain window, window, slots, size) of every item: each window in all its readings."""
+    """Distinct (item, reading, plain window, window, slots, size) of every item: each window in all its readings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = templates(part.column(1))
-                for size in range(1, WINDOW + 1):
-                    where, plain, hashes, slots = _distinct(*item_windows(found, size))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column(0).take(pa.array(where)),
-                            pa.array(plain.view(np.int64)),
-                            pa.array(hashes.view(np.int64)),
-                            _slot_lists(slots),
-                            pa.array(np.full(len(where), size, np.int32)),
-                        ],
-                        ["item_id", "plain", "window", "item_slots", "size"],
-                    )
+                plain_texts = None
+                for reading, read in enumerate(READINGS):
+                    found = read(part.column(1))
+                    rows = [(size, *_distinct(*item_windows(found, size))) for size in range(1, WINDOW + 1)]
+                    texts = np.concatenate([where for _, where, *_ in rows])
+                    plain_texts = texts if plain_texts is None else plain_texts
+                    for size, where, plain, hashes, slots in rows:
+                        some = np.isin(where, plain_texts)  # an item of names and numbers alone has no words when folded either
+                        where, n = pa.array(where[some]), int(some.sum())
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                part.column(0).take(where),
+                                pa.array(np.full(n, reading, np.int32)),
+                                pa.array(plain[some].view(np.int64)),
+                                pa.array(_seeded(hashes[some], reading).view(np.int64)),
+                                _slot_lists(slots[some]),
+                                pa.array(np.full(n, size, np.int32)),
+                            ],
+                            ["item_id", "reading", "plain", "window", "item_slots", "size"],
+                        )
 
     rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("item_id IS NOT NULL")
-    return rows.mapInArrow(run, "item_id long, plain long, window long, item_slots array<long>, size int").distinct()
+    return rows.mapInArrow(run, "item_id long, reading int, plain long, window long, item_slots array<long>, size int").distinct()
 
 
 def _agree(rows, stands: dict[int, int]) -> tuple[int, int]:
@@ -306,19 +334,19 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
 def _leaks(docs, benchmark, doc_id, text, item_id, item_text, share) -> DataFrame:
     space = Workspace(docs.sparkSession, "decontaminate")
     items = space.stage(benchmark_windows(benchmark, item_id, item_text), "items")
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # five at most
+    sizes = sorted((r["reading"], r["size"]) for r in items.select("reading", "size").distinct().collect())  # ten at most
     known = bloom.build(items.select("window"), "window", 24)
 
-    def only(found):
-        text, _, _, hashes, slots = found
-        return text, hashes, slots
+    def met_by(t: Templates, reading: int, size: int):
+        text, _, _, hashes, slots = windows(t, size, known, reading)
+        return _distinct(text, _seeded(hashes, reading), slots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                tokens = templates(part.column(2))
-                for size in sizes:
-                    where, hashes, slots = _distinct(*only(windows(tokens, size, known)))
+                read = {reading: READINGS[reading](part.column(2)) for reading in {r for r, _ in sizes}}
+                for reading, size in sizes:
+                    where, hashes, slots = met_by(read[reading], reading, size)
                     take = pa.array(where)
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(take), part.column(1).take(take), pa.array(hashes.view(np.int64)), _slot_lists(slots)],
@@ -327,19 +355,22 @@ def _leaks(docs, benchmark, doc_id, text, item_id, item_text, share) -> DataFram
 
     texts = docs.select(row_key(doc_id, text).alias("k"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     held = texts.mapInArrow(run, "k long, doc_id long, window long, doc_slots array<long>")
-    totals = items.groupBy("item_id").agg(F.count_distinct("plain").alias("n_windows"))
+    totals = items.groupBy("item_id", "reading").agg(F.count_distinct("plain").alias("n_windows"))
     met = held.join(items.drop("size"), "window").distinct()
-    grouped = met.groupBy("k", "doc_id", "item_id").agg(
+    grouped = met.groupBy("k", "doc_id", "item_id", "reading").agg(
         F.count_distinct("plain").alias("n"),
         F.collect_list(F.struct("plain", "item_slots", "doc_slots")).alias("pairs"),  # bounded by one text and one item
     )
-    likely = grouped.join(totals, "item_id").where(F.col("n") >= share * F.col("n_windows"))
+    likely = grouped.join(totals, ["item_id", "reading"]).where(F.col("n") >= share * F.col("n_windows"))
     checked = likely.withColumn("checked", F.pandas_udf(_consistent, "found long, changed long")("pairs"))
-    return checked.select(
+    found = checked.where(F.col("checked.found") >= share * F.col("n_windows"))
+    # Both readings may tell; the figures are those of the templates then.
+    first = F.min(F.struct("reading", "n_windows", "checked")).alias("x")
+    return found.groupBy("k", "doc_id", "item_id").agg(first).select(
         "k",
         "doc_id",
         "item_id",
-        "n_windows",
-        F.col("checked.found").alias("n_found"),
-        F.col("checked.changed").alias("n_changed"),
-    ).where(F.col("n_found") >= share * F.col("n_windows"))
+        F.col("x.n_windows").alias("n_windows"),
+        F.col("x.checked.found").alias("n_found"),
+        F.col("x.checked.changed").alias("n_changed"),
+    )

@@ -159,6 +159,16 @@ def test_templates_catch_new_numbers_and_names(spark):
     assert found[(0, 0)].n_changed == 0 and found[(1, 0)].n_changed >= 3
 
 
+def test_a_copy_in_any_case_is_found(spark):
+    accents = "Élodie part de Genève à 8 h et rejoint Zoé à Orléans après 3 heures de route, où elle dîne avec Noël près du marché."
+    changed = ITEM.replace("300", "450").replace("5 km", "9 km")
+    texts = [ITEM.upper(), ITEM.lower(), f"BEFORE IT. {changed.upper()} AFTER IT.", accents.upper(), accents.lower(), ITEM.replace("Paris", "Lyon").replace("Alice", "Karl").lower()]
+    found = leaked(spark, [*texts, "PARIS 12 LYON"], [ITEM, accents, "Say: Paris 12 Lyon", ": 12 Paris"])
+    assert found.keys() == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)}
+    assert all(r.n_found == r.n_windows for r in found.values())
+    assert found[(0, 0)].n_changed == 0 and found[(2, 0)].n_changed == 2
+
+
 def test_names_that_open_sentences_are_slots_too(spark):
     item = "Tom has 5 apples. Anna has 7 apples. Tom gives Anna 2 apples. How many apples does Anna have?"
 
