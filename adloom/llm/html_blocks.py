@@ -45,6 +45,7 @@ ENDS_P = frozenset(
     "ol p pre section table ul".split()
 )
 P_BARRIERS = frozenset("article div section body td li".split())
+HEAD_BARRIERS = frozenset({"template", "body"})
 #: Opening one of these ends an open one of its kind, up to these parents.
 SELF_ENDING = {
     "li": frozenset({"ul", "ol", "menu"}),
@@ -54,6 +55,8 @@ SELF_ENDING = {
     "dt": frozenset({"dl"}),
     "dd": frozenset({"dl"}),
 }
+#: All that can stand in a head; other tags, and text, end it and begin the body.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 
 _CLASS_WORD = re.compile(r"[a-z]+")
 
@@ -122,9 +125,14 @@ class _Reader:
 
     def begin(self, tag: str, rest: str) -> None:
         if tag == "br":
+            self.end_head()
             if self.open is not None:
                 self.open.parts.append(" ")
             return
+        if tag in ("body", "frameset"):
+            self.pop_to("head", HEAD_BARRIERS)
+        elif tag not in IN_HEAD:
+            self.end_head()
         if tag in ENDS_P:
             self.pop_to("p", P_BARRIERS)
         if tag in SELF_ENDING:
@@ -142,6 +150,13 @@ class _Reader:
         self.silent += tag in SILENT
         self.links += tag == "a"
 
+    def end_head(self) -> None:
+        """End a head that is the innermost open tag; the body is implied."""
+        if self.stack and self.stack[-1][0] == "head":
+            self.drop(len(self.stack) - 1)
+            if not any(t == "body" for t, _ in self.stack):
+                self.stack.append(("body", _NO_WORDS))
+
     def pop_to(self, tag: str, barriers: frozenset[str]) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
@@ -159,6 +174,8 @@ class _Reader:
         del self.stack[at:]
 
     def end(self, tag: str) -> None:
+        if tag in ("body", "html", "br"):
+            self.end_head()
         if tag not in INLINE:
             self.end_block()
         for i in range(len(self.stack) - 1, -1, -1):
@@ -167,6 +184,8 @@ class _Reader:
                 return
 
     def data(self, data: str) -> None:
+        if self.silent and not data.isspace():
+            self.end_head()
         if self.silent:
             return
         if "&" in data:

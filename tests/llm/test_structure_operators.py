@@ -160,6 +160,21 @@ def test_markup_of_all_kinds():
     assert texts == ["Home", "A & B", "One bold word é é 1 < 2 next", "Two", "x", "y", "© us"]
 
 
+def test_pages_that_leave_out_the_end_of_the_head(spark):
+    head = '<!DOCTYPE html><html><head>\n<meta charset="utf-8"><title>No text</title><style>p{}</style><noscript><link href="x"></noscript><script>var a = "<p>";</script>\n'
+    main = "<nav><a href='/x'>Home</a></nav><article><h1>A title of the page</h1><p>Some words of the main text, which go on for a while.</p></article><footer>&copy; us</footer>"
+    whole = f"{head}</head><body>{main}</body></html>"
+    pages = [whole, f"{head}<body>{main}</body></html>", f"{head}{main}", f"{head}{main}</body></html>", f"{head}<noscript><p>none<body>{main}"]
+    blocks = [[b.text for b in html_blocks.blocks_of(p)] for p in pages]
+    assert blocks == [["Home", "A title of the page", "Some words of the main text, which go on for a while.", "© us"]] * 5
+    df = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    out = {r.page_id: r for r in html_blocks.extract(df, html_blocks.trained()).collect()}
+    assert {r.text for r in out.values()} == {"A title of the page\n\nSome words of the main text, which go on for a while."}
+    one = {"<head><title>T</title>Text <b>here</b>": ["Text here"], "<head><title>T</title></body>Text": ["Text"], "<head><template><p>no</p><body>no</template><title>T</title></head>Text": ["Text"]}
+    one |= {"<head><meta><frameset><p>Text": ["Text"], "<html><head><link><br>Text": ["Text"], "<body><p>a</p><head><p>b": ["a", "b"]}
+    assert {p: [b.text for b in html_blocks.blocks_of(p)] for p in one} == one
+
+
 def test_odd_pages(spark):
     chain = html_blocks.trained()
     rows = [(1, None), (2, ""), (3, "<p>"), (4, "<article><p>" + "Some words here. " * 50_000), (None, "<article><p>A text of an article.</p></article>")]
