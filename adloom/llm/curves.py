@@ -11,6 +11,8 @@ A window is a share of the ordering, so recall stays the same as the table
 grows. Vectors without structure (all directions alike) need wide windows; for
 clustered ones a small ``share`` does. Equal vectors are indexed once, with
 their smallest ids, so a vector held by a third of the rows costs one point.
+Near copies that share a cell of the grid are ordered by a second curve inside
+the cell, so however close they are, orderings differ.
 
 Defined results: vectors that are null or zero, hold null or non-finite
 components, or have another length than most take no part; nor do rows with a
@@ -32,6 +34,8 @@ from adloom.llm.workspace import Workspace
 
 DIMENSIONS = 4
 BITS = 12
+#: Bits of the curve inside a cell.
+INNER_BITS = 15
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -58,15 +62,19 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_keys(unit: np.ndarray, ordering: int, bits: int = BITS, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """Keys of unit vectors in one ordering: a random rotation's first coordinates, shifted, on a grid."""
+def curve_keys(
+    unit: np.ndarray, ordering: int, bits: int = BITS, dimensions: int = DIMENSIONS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of unit vectors in one ordering, a random rotation's first coordinates, shifted, on a grid; and keys inside the cells."""
     rng = np.random.default_rng(1000 + ordering)
     d = unit.shape[1]
     kept = min(dimensions, d)
     turned = unit @ np.linalg.qr(rng.normal(size=(d, d)))[0][:, :kept]
     # Projections of unit vectors spread as 1 / sqrt(d); four of that on each side, and a shift of up to half a side.
     scaled = np.clip(turned * np.sqrt(d) / 8 + 0.5, 0, 1) * 0.66 + rng.uniform(0, 0.33, kept)
-    return hilbert_keys(np.minimum((scaled * (1 << bits)).astype(np.int64), (1 << bits) - 1), bits)
+    cells = np.minimum((scaled * (1 << bits)).astype(np.int64), (1 << bits) - 1)
+    inside = ((scaled * (1 << bits) - cells) * (1 << INNER_BITS)).astype(np.int64)
+    return hilbert_keys(cells, bits), hilbert_keys(np.clip(inside, 0, (1 << INNER_BITS) - 1), INNER_BITS)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -119,13 +127,15 @@ def nearest(
             unit = _matrix(batch.column(2))
             unit = unit / np.sqrt((unit * unit).sum(1, keepdims=True))
             for o in range(orderings):
+                key, inner = curve_keys(unit, o)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(batch.num_rows, o, np.int32)), pa.array(curve_keys(unit, o)), *batch.columns],
-                    ["ordering", "key", *batch.schema.names],
+                    [pa.array(np.full(batch.num_rows, o, np.int32)), pa.array(key), pa.array(inner), *batch.columns],
+                    ["ordering", "key", "inner_key", *batch.schema.names],
                 )
 
-    keyed = points.mapInArrow(order_all, "ordering int, key long, point long, ids array<long>, v array<double>, asked boolean")
-    sorted_ = keyed.repartitionByRange("ordering", "key", "point").sortWithinPartitions("ordering", "key", "point")
+    keyed = points.mapInArrow(order_all, "ordering int, key long, inner_key long, point long, ids array<long>, v array<double>, asked boolean")
+    along = ["ordering", "key", "inner_key", "point"]
+    sorted_ = keyed.repartitionByRange(*along).sortWithinPartitions(*along)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

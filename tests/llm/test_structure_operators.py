@@ -58,6 +58,25 @@ def test_nearest_with_equal_and_odd_vectors(spark):
     assert curves.nearest(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_nearest_within_a_group_of_near_copies(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 64))
+    vectors /= np.sqrt((vectors**2).sum(1, keepdims=True))
+    group = rng.permutation(3000)[:1000]  # a third of the rows, within far less than a cell
+    vectors[group] = vectors[group[0]] + 1e-6 * rng.normal(size=(1000, 64))
+    unit = vectors / np.sqrt((vectors**2).sum(1, keepdims=True))
+    asked = {int(i) for i in group[:25]}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in curves.nearest(df, F.col("vec_id").isin(*asked)).collect():
+        found[r.query_id].add(r.vec_id)
+    near = []
+    for q in asked:  # the distance of unit vectors orders as the cosine does, with more digits
+        gap = ((unit[group] - unit[q]) ** 2).sum(1)
+        near.append(len(found[q] & {int(group[i]) for i in np.argsort(gap)[1:6]}) / 5)
+    assert np.mean(near) >= 0.9
+
+
 def test_hilbert_neighbours_are_neighbours():
     for d, bits in ((2, 5), (3, 3), (4, 2)):
         cells = np.array(np.meshgrid(*[np.arange(1 << bits)] * d)).reshape(d, -1).T
