@@ -244,7 +244,6 @@ def features(blocks: list[Block]) -> np.ndarray:
         n = len(text)
         words_n = text.count(" ") + 1
         link = b.linked / max(1, sum(map(len, b.parts)))
-        some = text[:400]
         rows.append(
             (
                 1,
@@ -257,10 +256,10 @@ def features(blocks: list[Block]) -> np.ndarray:
                 link == 0,
                 min(3, len(_MARKS.findall(text))) / 3,
                 text[-1:] in ".!?…\"”",
-                "©" in text or "copyright" in text[:200].lower(),
-                min(1, 4 * len(_DIGITS.findall(some)) / max(1, min(n, 400))),
+                "©" in text or "copyright" in text.lower(),
+                min(1, 4 * len(_DIGITS.findall(text)) / max(1, n)),
                 "|" in text or "»" in text or "·" in text,
-                text[:200].isupper(),
+                text.isupper(),
                 "@" in text or "http" in text,
                 text[:1].islower(),
             )

@@ -144,6 +144,14 @@ def test_chain_on_held_out_layouts():
     assert np.mean(right) > 0.98
 
 
+def test_features_are_those_of_the_whole_block():
+    texts = ["w" * 399 + " " + "1" * 400, "W" * 300 + " w", "w" * 300 + " Copyright us", "w" * 300]
+    rows = html_blocks.features(html_blocks.blocks_of("".join(f"<p>{t}</p>" for t in texts)))[:, -html_blocks.TEXT_FEATURES :]
+    assert rows[:, 10].tolist() == [0, 0, 1, 0]  # copyright
+    assert rows[:, 11].tolist() == [1, 0, 0, 0]  # digits
+    assert rows[:, 13].tolist() == [0, 0, 0, 0]  # capitals
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(3)
     chain = html_blocks.Chain(rng.normal(size=(html_blocks.SIZE, 2)), rng.normal(size=(2, 2)) * 2, rng.normal(size=2))
