@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adloom.llm import curves, decontaminate, ftrl, html_blocks, line_spread, mil, ngram_join, pieces, suffixes, warc
+from adloom.llm import curves, decontaminate, ftrl, grace_dedup, html_blocks, line_spread, mil, ngram_join, pieces, suffixes, warc
 from adloom.llm.workspace import importable
 
 
@@ -75,6 +75,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op13_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grace_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,6 +98,7 @@ QUERIES = {
         op8_sentencepiece_viterbi,
         op9_suffix_dedup,
         op10_ngram_jaccard,
+        op13_grace_dedup,
         pipeline,
     )
 }
@@ -109,5 +114,13 @@ ORACLES = {
              CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
       FROM f
     """,
+    "op13_grace_dedup": """
+      WITH d AS (
+        SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+      ), g AS (
+        SELECT *, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d
+      )
+      SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+    """,
     "op5_line_spread": line_spread.line_spread_sql(),
 }
