@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adloom.llm import curves, decontaminate, ftrl, grace_dedup, html_blocks, line_spread, mil, ngram_join, pieces, suffixes, warc
+from adloom.llm import curves, decontaminate, filter_audit, ftrl, grace_dedup, html_blocks, line_spread, mil, ngram_join, pieces, spelling, suffixes, warc
 from adloom.llm.workspace import importable
 
 
@@ -75,6 +75,14 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+def op11_bloom_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), s=spelling.Settings(drop_one_in=199))
+
+
 def op13_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -98,6 +106,8 @@ QUERIES = {
         op8_sentencepiece_viterbi,
         op9_suffix_dedup,
         op10_ngram_jaccard,
+        op11_bloom_audit,
+        op12_spelling_composition,
         op13_grace_dedup,
         pipeline,
     )
@@ -122,5 +132,6 @@ ORACLES = {
       )
       SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
     """,
+    "op11_bloom_audit": filter_audit.audit_sql(),
     "op5_line_spread": line_spread.line_spread_sql(),
 }
