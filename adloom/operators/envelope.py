@@ -57,6 +57,14 @@ class Field:
     def ddl(self) -> str:
         return self.kind.removeprefix("json:") if self.nested else "string"
 
+    @property
+    def typed(self) -> str:
+        """The SQL type of the column."""
+        if self.nested:
+            return self.ddl
+        kind = self.kind.split(":")[0]
+        return {"text": "string", "iso_text": "string", "long": "bigint", "date": "date"}.get(kind, "double")
+
     def read(self, value: Column, strict: bool) -> Column:
         if self.nested:
             return value

@@ -11,9 +11,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adloom.operators.envelope import LATEST, LOAD_COLUMNS, Field, json_member, parse_envelope, rejects
+from adloom.operators.latest import LatestTable
 from adloom.sources import raw, sinks
 
 # Stream names as the extractors write them.
@@ -75,6 +76,8 @@ class Streams:
     root: str | None = None
     given: Mapping[str, DataFrame] = field(default_factory=dict)
     parsed: str | None = None
+    #: A folder of tables kept by ``store_latest``, read instead of parsed ones where a stream has one.
+    latest: Mapping[str, LatestTable] = field(default_factory=dict)
     as_of: dt.date | None = None
     #: Where given, every parse adds the frame of its rejected rows.
     rejected: list[DataFrame] | None = None
@@ -97,15 +100,20 @@ class Streams:
     ) -> DataFrame:
         """The typed rows of an envelope stream: its parsed table where there is one, else its raw rows, parsed.
 
-        ``day`` names the column that the window filters. No day is loaded before
+        Of a stream with kept winners (``latest``) one row per key comes, the
+    window's days only. ``day`` names the column that the window filters. No day is loaded before
         it is over or running, so the window also prunes a parsed table's days
         of load; ``advertiser`` prunes a shared report.
         """
         first = self.first_day(name) if day else None
-        if self.parsed is not None:
-            table = self.spark.read.parquet(parsed_path(self.parsed, name, label))
-            if first is not None:
-                table = table.where(F.col("loaded_on") >= F.lit(first))
+        kept = self.latest.get(f"{name}@{label}", self.latest.get(name))
+        if kept is not None or self.parsed is not None:
+            if kept is not None:
+                table = kept.rows(typed_schema(wanted, keep))
+            else:
+                table = self.spark.read.parquet(parsed_path(self.parsed, name, label))
+                if first is not None:
+                    table = table.where(F.col("loaded_on") >= F.lit(first))
             if advertiser is not None:
                 table = table.where(F.col("advertiser") == advertiser)
             found = table.select(*[f.name for f in wanted], *keep)
@@ -166,6 +174,27 @@ def store_parsed(
     return rejects(source, wanted, LATEST, keys=keys)
 
 
+def store_latest(
+    streams: Streams, name: str, label: str, wanted: Sequence[Field], table: LatestTable, keep: Sequence[str] = LATEST
+) -> list[str]:
+    """Bring the kept winners of a parsed stream up to date with what was loaded in its window; returns the days that changed.
+
+    Rows count by their day of load, so a reload corrects days that lie before
+    the window too. Without ``as_of`` all loads are compared again.
+    """
+    rows = streams.spark.read.parquet(parsed_path(streams.parsed, name, label))
+    first = streams.first_day(name)
+    if first is not None:
+        rows = rows.where(F.col("loaded_on") >= F.lit(first))
+    return table.load(rows.select(*typed_schema(wanted, keep).names))
+
+
+def typed_schema(wanted: Sequence[Field], keep: Sequence[str]) -> T.StructType:
+    """Columns of a stream's typed rows."""
+    kinds = {f.name: f.typed for f in wanted} | {c: LOAD_COLUMNS[c] for c in keep}
+    return T.StructType.fromDDL(", ".join(f"`{c}` {kind}" for c, kind in kinds.items()))
+
+
 def all_rejected(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
     """One frame of rejected rows: stream, label, reason, data and the load columns."""
     if frames:
