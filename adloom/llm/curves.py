@@ -7,8 +7,8 @@ into blocks of neighbouring keys, and every query is sent to the blocks that
 its window reaches. There its neighbours are scored by their exact cosine, and
 the best of all windows merge.
 
-A window is a share of the ordering, so recall stays the same as the table
-grows. Vectors without structure (all directions alike) need wide windows; for
+A window is a share of the ordering, and some rows at least, so recall stays
+the same as the table grows. Vectors without structure (all directions alike) need wide windows; for
 clustered ones a small ``share`` does. Equal vectors are indexed once, with
 their smallest ids, so a vector held by a third of the rows costs one point.
 Near copies that share a cell of the grid are ordered by a second curve inside
@@ -34,6 +34,8 @@ from adloom.llm.workspace import Workspace
 
 DIMENSIONS = 4
 BITS = 12
+#: Rows of a window on each side of a query, at least; and queries that meet a block in one task.
+LEAST_REACH, MOST_QUERIES = 64, 20_000
 #: Bits of the curve inside a cell.
 INNER_BITS = 15
 
@@ -159,13 +161,25 @@ def nearest(
     )
     placed = numbered.join(begins, ["ordering", "part"]).withColumn("at", F.col("nth") + F.col("shift"))
     total = points.count()
-    reach = max(k + 1, int(np.ceil(share * total / 2)))
-
-    held = placed.select("ordering", F.floor(F.col("at") / block).cast("long").alias("block"), "at", "point", "ids", "v")
+    reach = max(LEAST_REACH, k + 1, int(np.ceil(share * total / 2)))
+    # Queries that reach a block are dealt to parts, so that no task holds more of them than that, about.
+    reaching = points.where("asked").count() * min(1.0, (2 * reach + block) / max(1, total))
+    parts = max(1, int(np.ceil(reaching / MOST_QUERIES)))
+
+    held = placed.select(
+        "ordering",
+        F.floor(F.col("at") / block).cast("long").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+        "at",
+        "point",
+        "ids",
+        "v",
+    )
     low, high = F.greatest(F.lit(0), F.col("at") - reach), F.least(F.lit(max(0, total - 1)), F.col("at") + reach)
     windows = placed.where("asked").select(
         F.col("ordering").alias("q_ordering"),
         F.explode(F.sequence(F.floor(low / block).cast("long"), F.floor(high / block).cast("long"))).alias("q_block"),
+        F.pmod(F.xxhash64("point"), F.lit(parts)).cast("int").alias("q_part"),
         low.alias("low"),
         high.alias("high"),
         F.col("point").alias("query"),
@@ -195,7 +209,7 @@ def nearest(
                 out.append((query, exact[i], ids[a + some[i]]))
         return pd.DataFrame(out, columns=["query", "score", "ids"]) if out else empty
 
-    near = held.groupBy("ordering", "block").cogroup(windows.groupBy("q_ordering", "q_block")).applyInPandas(
+    near = held.groupBy("ordering", "block", "part").cogroup(windows.groupBy("q_ordering", "q_block", "q_part")).applyInPandas(
         score, "query long, score double, ids array<long>"
     )
     found = near.groupBy("query", F.element_at("ids", 1).alias("point")).agg(F.max("score").alias("score"), F.first("ids").alias("ids"))

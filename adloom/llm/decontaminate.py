@@ -43,6 +43,8 @@ from adloom.llm import bloom
 from adloom.llm.words import NOT_ALNUM, mix, slices, span_hashes, text_bytes, word_hashes, word_spans
 from adloom.llm.workspace import Workspace, spare_name
 
+#: Bytes of texts worked on at once, or one text.
+PIECE = 1 << 20
 WINDOW = 5
 SHARE = 0.8
 
@@ -343,10 +345,13 @@ def _leaks(docs, benchmark, doc_id, text, item_id, item_text, share) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                read = {reading: READINGS[reading](part.column(2)) for reading in {r for r, _ in sizes}}
-                for reading, size in sizes:
-                    where, hashes, slots = met_by(read[reading], reading, size)
+            for part in slices(batch, "text", PIECE):
+                read, done = None, -1
+                for reading, size in sizes:  # sorted, so one reading at a time is held
+                    if reading != done:
+                        read = None
+                        read, done = READINGS[reading](part.column(2)), reading
+                    where, hashes, slots = met_by(read, reading, size)
                     take = pa.array(where)
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(take), part.column(1).take(take), pa.array(hashes.view(np.int64)), _slot_lists(slots)],

@@ -6,11 +6,13 @@ per coordinate, and its L1 term leaves most weights at exactly zero, so the
 model that goes to the executors is a short sorted list of (coordinate, weight).
 
 It is fitted on the driver from at most ``rows`` labelled documents, chosen by
-the hash of their id; every document is scored whole.
+the hash of their id; every document is scored whole. Spark counts the sample's
+coordinates first, and only those that can get a weight reach the driver.
 
 Defined results: a null or empty text has no features and gets the intercept's
 score. Null labels and null ids teach nothing. Repeated rows are scored alike.
-Extra columns are carried through.
+Extra columns are carried through; where one has the name of the scores, theirs
+gets an underscore before it.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adloom.llm.sampling import labelled
 from adloom.llm.words import NOT_ALNUM, mix, slices, word_hashes
+from adloom.llm.workspace import Workspace, spare_name
 
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
@@ -90,10 +93,12 @@ class Model:
         return {k: v for k, v in self.__dict__.items() if k != "_table"}
 
 
-def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
-    """FTRL-proximal, one document at a time; the place after all coordinates met is the intercept, which has no L1 term."""
+def fit(samples: list[np.ndarray], labels: np.ndarray, known: np.ndarray, s: Settings) -> Model:
+    """FTRL-proximal, one document at a time. Samples hold places in ``known``, the sorted coordinates.
+
+    The place after all of them is the intercept, which has no L1 term.
+    """
     l1 = s.penalty(len(samples))
-    known = np.unique(np.concatenate([np.zeros(0, np.int32), *samples]))
     size = len(known)
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
@@ -103,10 +108,9 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
         w = -(zs - np.sign(zs) * pull) / ((s.beta + np.sqrt(n[at])) / s.alpha + s.l2)
         return np.where(np.abs(zs) <= pull, 0.0, w)
 
-    samples = [np.append(np.searchsorted(known, np.unique(x)), size).astype(np.int32) for x in samples]
     for step in range(s.passes):
         for i in np.random.default_rng(step).permutation(len(samples)):
-            at = samples[i]
+            at = np.append(samples[i], size)
             w = weight(at)
             p = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35)))
             g = p - labels[i]
@@ -121,6 +125,7 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, s: Settings) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, s: Settings = Settings()) -> Model:
     """Fit on documents that ``labels`` (doc_id, label) knows and ``learn_from``, a condition on doc_id, admits."""
+    space = Workspace(docs.sparkSession, "ftrl")
     chosen = labelled(docs, labels, label, learn_from, s.rows)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,21 +137,37 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, s:
                     ["doc_id", "y", "at"],
                 )
 
-    learned = chosen.mapInArrow(featurise, "doc_id long, y int, at array<int>").toArrow()
-    ids, labels = learned["doc_id"].to_numpy(), learned["y"].to_numpy().astype(float)
-    at = learned["at"].combine_chunks()
-    flat, starts = at.values.to_numpy(zero_copy_only=False), at.offsets.to_numpy()
+    samples = space.stage(chosen.mapInArrow(featurise, "doc_id long, y int, at array<int>"), "samples")
     # A gradient is less than 1, so a coordinate met too rarely to add up to the L1 term keeps a weight of zero.
-    often = np.bincount(flat, minlength=1) * s.passes > s.penalty(len(ids))
-    kept = often[flat]
-    flat, starts = flat[kept], np.concatenate([[0], np.cumsum(kept, dtype=np.int32)])[starts]
-    del learned, at, kept, often
-    order = np.argsort(ids)
-    return fit([flat[starts[i] : starts[i + 1]] for i in order], labels[order], s)
+    counts = samples.select(F.explode("at").alias("at")).groupBy("at").count()
+    often = counts.where(F.col("count") * s.passes > s.penalty(samples.count())).select("at")
+    known = np.sort(often.toArrow()["at"].to_numpy())  # 2^bits at most
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            at = np.searchsorted(known, flat).astype(np.int32)
+            kept = known[np.minimum(at, len(known) - 1)] == flat if len(known) else np.zeros(len(flat), bool)
+            ends = np.concatenate([[0], np.cumsum(kept)])[ends].astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(ends), pa.array(at[kept]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], found], batch.schema.names)
+
+    learned = samples.mapInArrow(place, samples.schema).toArrow()
+    order = np.argsort(learned["doc_id"].to_numpy())
+    marks = learned["y"].to_numpy().astype(float)[order]
+    # Views of the lists' chunks; nothing is copied.
+    views = [
+        values[a:b]
+        for chunk in learned["at"].chunks
+        for values, ends in [(chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy())]
+        for a, b in zip(ends[:-1], ends[1:])
+    ]
+    return fit([views[i] for i in order], marks, known, s)
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """``docs`` with a column of scores."""
+    """``docs`` with a last column of scores."""
 
     @F.pandas_udf("double")
     def of_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -155,4 +176,4 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             found = [model.scores(x.column(0)) for x in slices(batch, "text")]
             yield pd.Series(np.concatenate(found) if found else np.zeros(0))
 
-    return docs.withColumn(column, of_text("text"))
+    return docs.withColumn(spare_name(docs, column), of_text("text"))

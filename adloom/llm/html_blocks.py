@@ -32,6 +32,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from adloom.llm.workspace import spare_name
+
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset("script style noscript template head title textarea select option button svg math iframe object canvas audio video".split())
@@ -500,7 +502,11 @@ def main_text(html: str, chain: Chain) -> str:
 
 
 def extract(pages: DataFrame, chain: Chain, html: str = "html", text: str = "text", size: str = "n_chars") -> DataFrame:
-    """``pages`` without ``html``, with the main text and its length in code points."""
+    """``pages`` without ``html``, with the main text and its length in code points as last columns.
+
+    Where a column has one of their names, theirs get an underscore before it.
+    """
+    text, size = spare_name(pages.drop(html), text), spare_name(pages.drop(html), size)
 
     @F.pandas_udf("string")
     def of_html(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -6,11 +6,10 @@ near the threshold get an exact distinct count, so the decision is exact. Lines
 seen fewer times than the threshold cannot reach it and get no sketch.
 
 A line is compared without leading and trailing spaces; empty lines are never
-boilerplate. A document that would lose more than ``most_lost`` of its
-characters is left as it is, as the checking SQL has it. With ``copies_only``
-that holds for proven copies alone: texts that lie on two or more sites, which
-are the near-duplicate operators' work; every other document loses all its
-boilerplate lines, however much of it they are.
+boilerplate. Every document loses all its boilerplate lines, however much of it
+they are, but for proven copies: a text that lies on two or more sites and would
+lose more than ``most_lost`` of its characters is left as it is, as copies are
+the near-duplicate operators' work.
 
 Defined results: a null text stays null with no lines; a null site counts for
 no line; a null or repeated id changes nothing, as decisions hang on the line
@@ -83,7 +82,6 @@ def drop_boilerplate(
     site: str = "source",
     min_sites: int = 10,
     most_lost: float = 0.5,
-    copies_only: bool = False,
 ) -> DataFrame:
     """``docs`` without boilerplate lines, plus ``n_lines`` and ``n_removed`` (names are kept free of clashes)."""
     space = Workspace(docs.sparkSession, "line-spread")
@@ -98,10 +96,7 @@ def drop_boilerplate(
 
     hits = _of_lines(lines.select("k", "h", "salt"), spread)
     hits = hits.groupBy("k").agg(F.collect_set("h").alias("h"))  # distinct lines of one document
-    if copies_only:
-        hits = hits.join(_copied(keyed, key, text, site), "k", "left")
-    else:
-        hits = hits.withColumn("copied", F.lit(None).cast("array<long>"))
+    hits = hits.join(_copied(keyed, key, text, site), "k", "left")
     joined = keyed.join(hits.select(F.col("k").alias(key), F.col("h").alias(bad), F.col("copied").alias(copied)), key, "left")
 
     split = F.split(F.col(text), "\n")
@@ -109,9 +104,8 @@ def drop_boilerplate(
     kept = F.filter(split, lambda x: ~F.array_contains(F.col(bad), _line_key(x)) | (F.trim(x) == ""))
     left = F.aggregate(F.col(parts), F.lit(0), lambda n, x: n + F.length(x))
     touched = joined.withColumn(parts, F.when(F.col(bad).isNotNull(), kept))
-    fits = whole - left <= F.lit(most_lost) * whole
-    if copies_only:
-        fits = fits | ~F.coalesce(F.array_contains(copied, F.xxhash64(text)), F.lit(False))
+    a_copy = F.coalesce(F.array_contains(copied, F.xxhash64(text)), F.lit(False))
+    fits = ~a_copy | (whole - left <= F.lit(most_lost) * whole)
     fits = F.col(parts).isNotNull() & fits
     n_lines, n_removed = spare_name(docs, "n_lines"), spare_name(docs, "n_removed")
     return touched.select(
@@ -133,14 +127,16 @@ def line_spread_sql(min_sites: int = 10, most_lost: float = 0.5) -> str:
       SELECT line FROM line WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= {min_sites}
     ), bads AS (
       SELECT coalesce(list(line), []) AS bad FROM bad
+    ), copy AS (
+      SELECT text AS copied FROM documents GROUP BY text HAVING count(DISTINCT source) >= 2
     ), cut AS (
       SELECT doc_id, text, string_split(text, chr(10)) AS parts,
-             list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(bad, trim(x))) AS kept
-      FROM documents CROSS JOIN bads
+             list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(bad, trim(x))) AS kept, copied
+      FROM documents CROSS JOIN bads LEFT JOIN copy ON text = copied
     ), sized AS (
       SELECT *, length(array_to_string(parts, '')) AS whole, length(array_to_string(kept, '')) AS remains FROM cut
     ), decided AS (
-      SELECT *, len(kept) < len(parts) AND whole - remains <= {most_lost} * whole AS fits FROM sized
+      SELECT *, len(kept) < len(parts) AND (copied IS NULL OR whole - remains <= {most_lost} * whole) AS fits FROM sized
     )
     SELECT doc_id, CASE WHEN fits THEN array_to_string(kept, chr(10)) ELSE text END AS text,
            coalesce(len(parts), 0) AS n_lines, CASE WHEN fits THEN len(parts) - len(kept) ELSE 0 END AS n_removed

@@ -14,7 +14,8 @@ the hash of their id; every document is scored whole.
 Defined results: a null or empty text, or one of white space only, has no
 passage and gets the share of good documents among those learned from. Null
 labels and null ids teach nothing. Repeated rows are scored alike. Extra
-columns are carried through.
+columns are carried through; where one has the name of the scores, theirs gets
+an underscore before it.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adloom.llm.sampling import labelled
 from adloom.llm.words import WHITE, slices, span_hashes, text_bytes, word_spans
+from adloom.llm.workspace import spare_name
 
 PASSAGE = 64
 
@@ -234,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, s:
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """``docs`` with a column of scores."""
+    """``docs`` with a last column of scores."""
 
     @F.pandas_udf("double")
     def of_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -243,4 +245,4 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             found = [model.scores(x.column(0)) for x in slices(batch, "text", 1 << 20)]
             yield pd.Series(np.concatenate(found) if found else np.zeros(0))
 
-    return docs.withColumn(column, of_text("text"))
+    return docs.withColumn(spare_name(docs, column), of_text("text"))

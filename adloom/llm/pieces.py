@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from adloom.llm.words import slices
+from adloom.llm.workspace import spare_name
 
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -270,8 +271,8 @@ def _lists(blobs: list[bytes | None]) -> pa.Array:
 
 
 def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids", unigram: bool = False) -> DataFrame:
-    """``docs`` with the ids of ``text`` in a new column ``ids``."""
-    at = docs.columns.index(text)
+    """``docs`` with the ids of ``text`` in a last column ``ids``; with an underscore before it where a column has that name."""
+    at, ids = docs.columns.index(text), spare_name(docs, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,8 +285,8 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids",
 
 
 def decode(docs: DataFrame, model: bytes, ids: str = "ids", text: str = "text") -> DataFrame:
-    """``docs`` with the text of ``ids`` in a new column ``text``."""
-    at = docs.columns.index(ids)
+    """``docs`` with the text of ``ids`` in a last column ``text``; with an underscore before it where a column has that name."""
+    at, text = docs.columns.index(ids), spare_name(docs, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,11 +22,11 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column,
     """(doc_id, text, y) of at most ``rows`` documents, chosen by the hash of their id.
 
     The ids are chosen from the labels alone and sent to every task (16 bytes
-    each), so no text is shuffled but the sample's. Of rows with equal ids one
-    counts; of contradicting labels the greater.
+    each), so no text is shuffled but the sample's. Of rows with equal ids the one
+    whose text has the smallest hash counts; of contradicting labels the greater.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn_from)
     known = known.groupBy("doc_id").agg(F.max(label).alias("y"))
     chosen = smallest(known, F.xxhash64(F.col("doc_id"), F.lit("sample")), rows)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return found.dropDuplicates(["doc_id"])
+    return found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("y").alias("y"))

@@ -51,8 +51,8 @@ GRAM = 160
 PIECE = 1 << 19
 #: Suffixes of one sorted run.
 RUN = 50_000
-#: Suffixes that the driver samples to choose splitters.
-SAMPLE = 4096
+#: Suffixes that the driver samples to choose splitters: so many at least, and so many for each range.
+SAMPLE, PER_RANGE = 4096, 4
 
 
 # --- anchors -------------------------------------------------------------------------
@@ -239,11 +239,14 @@ def suffix_key(s: bytes) -> int:
 
 
 def sorted_bounds(suffixes: DataFrame, column: str, range_bytes: int = 32 << 20) -> DataFrame:
-    """(key, shared): of every distinct value of a binary column, the longest prefix shared with another row's."""
+    """(key, shared): of every distinct value of a binary column, the longest prefix shared with another row's.
+
+    The driver sees about 2 KB of suffixes for each ``range_bytes`` of them, and a merge one range at a time.
+    """
     suffixes = suffixes.select(F.col(column).alias("s"), F.xxhash64(column, "rid").alias("h"))
     size = suffixes.agg(F.sum(F.length("s"))).first()[0] or 0
     ranges = max(1, -(-size // range_bytes), min(64, -(-size // (1 << 20))))
-    sample = sorted({bytes(r.s) for r in smallest(suffixes, F.col("h"), SAMPLE).collect()}) if ranges > 1 else []
+    sample = sorted({bytes(r.s) for r in smallest(suffixes, F.col("h"), max(SAMPLE, PER_RANGE * ranges)).collect()}) if ranges > 1 else []
     splitters = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)} if sample else set())
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +290,7 @@ def sorted_bounds(suffixes: DataFrame, column: str, range_bytes: int = 32 << 20)
             yield done(now, blobs)
 
     sent = suffixes.select("s").mapInArrow(runs, "range int, run binary")
-    dealt = sent.repartition(min(len(splitters) + 1, 4096), "range").sortWithinPartitions("range")
+    dealt = sent.repartition(min(len(splitters) + 1, 20_000), "range").sortWithinPartitions("range")
     return dealt.mapInArrow(merge, "key long, shared int")
 
 
@@ -443,7 +446,7 @@ def repeated_spans(texts: DataFrame, space: Workspace) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 (of the bytes that stay)."""
+    """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the bytes that stay) and has_repeats."""
     space = Workspace(docs.sparkSession, "suffixes")
     texts = docs.select(
         F.xxhash64(F.col(doc_id), F.col(text)).alias("k"),
@@ -488,4 +491,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.lit(0).cast("long").alias("n_spans"),
         F.sha2("text", 256).alias("kept_sha256"),
     )
-    return changed.unionByName(same)
+    return changed.unionByName(same).withColumn("has_repeats", F.col("n_removed") > 0)

@@ -34,6 +34,9 @@ VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
+#: Tasks that read archives at once; with more archives a task reads several.
+READERS = 20_000
+
 RECORD_SCHEMA = (
     "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
     "payload binary, error string"
@@ -223,7 +226,7 @@ def write_archives(
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.zst"
                     path, records, size = f"{folder}/{name}", 0, len(head)
-                    out = store.open_output_stream(f"{base}/{name}")
+                    out = store.open_output_stream(f"{base}/{name}", compression=None)  # the name would make Arrow compress again
                     out.write(head)
                 record = build_record(row["page_id"], row["url"], row["payload"].encode(), row["digest"], row["refers_to"])
                 frame = maker.compress(record)
@@ -244,7 +247,7 @@ def write_archives(
 
 
 def read_archives(spark: SparkSession, archives: DataFrame, payloads: bool = True, batch_bytes: int = 16 << 20) -> DataFrame:
-    """The records of the archives named in column ``path``, one archive after the other in each task.
+    """The records of the archives named in column ``path``, each archive in a task of its own up to ``READERS`` tasks.
 
     Columns as in RECORD_SCHEMA; a record that fails a check has ``error`` set.
     ``payloads=False`` leaves the payload column null after checking it.
@@ -259,7 +262,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, payloads: bool = Tru
             for path in batch.column(0).to_pylist():
                 folder, _, name = path.rpartition("/")
                 store, base = _open_folder(folder)
-                with store.open_input_stream(f"{base}/{name}") as stream:
+                with store.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for raw in read_frames(stream):
                         record = parse_record(raw)
                         if not payloads:
@@ -272,8 +275,8 @@ def read_archives(spark: SparkSession, archives: DataFrame, payloads: bool = Tru
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    paths = archives.select("path").repartition(F.col("path"))
-    return paths.mapInArrow(read, RECORD_SCHEMA)
+    paths = archives.select("path")
+    return paths.repartition(max(1, min(paths.count(), READERS))).mapInArrow(read, RECORD_SCHEMA)
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:

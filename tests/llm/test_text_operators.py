@@ -2,13 +2,14 @@
 
 import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from adloom.llm import decontaminate, ftrl, line_spread, mil, pieces, queries, words
+from adloom.llm import decontaminate, ftrl, line_spread, mil, pieces, queries, sampling, words
 from compare import difference, duck
 
 ODD = "doc_id long, text string, source string, key string, _key string, score double"
@@ -114,14 +115,53 @@ def test_toxicity_on_held_out_documents(spark, larger):
 def test_models_on_odd_rows(spark):
     labels = spark.createDataFrame([(5, 1), (4, 0), (2, None), (None, 1)], "doc_id long, y int")
     for module in (ftrl, mil):
-        odd = odd_rows(spark).drop("score")
+        odd = odd_rows(spark).withColumn("score", F.lit("own"))
         model = module.train(odd, labels, "y", F.lit(True))
         out = module.score(odd, model).collect()
-        assert len(out) == odd.count() and all(0 <= r.score <= 1 for r in out)
-        assert len({r.score for r in out if not (r.text or "").strip()}) == 1
+        assert len(out) == odd.count() and all(0 <= r._score <= 1 and r.score == "own" for r in out)
+        assert len({r._score for r in out if not (r.text or "").strip()}) == 1
         assert module.score(odd.limit(0), model).count() == 0
         nothing = module.train(odd.limit(0), labels, "y", F.lit(True))
-        assert all(0 <= r.score <= 1 for r in module.score(odd, nothing).collect())
+        assert all(0 <= r._score <= 1 for r in module.score(odd, nothing).collect())
+
+
+def test_ftrl_agrees_with_a_plain_loop():
+    rng = np.random.default_rng(3)
+    known = np.arange(0, 400, 10)
+    samples = [np.unique(rng.integers(0, len(known), 12)).astype(np.int32) for _ in range(60)]
+    labels = np.array([float(7 in s or rng.random() < 0.1) for s in samples])
+    s = ftrl.Settings(l1=0.4, rows=60)
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        pull = 0.0 if i == len(known) else s.l1
+        if abs(z[i]) <= pull:
+            return 0.0
+        return -(z[i] - (pull if z[i] > 0 else -pull)) / ((s.beta + n[i] ** 0.5) / s.alpha + s.l2)
+
+    for step in range(s.passes):
+        for k in np.random.default_rng(step).permutation(len(samples)):
+            at = [*samples[k], len(known)]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - labels[k]
+            for i in at:
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / s.alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    model = ftrl.fit(samples, labels, known, s)
+    expected = {known[i]: weight(i) for i in range(len(known)) if weight(i)}
+    assert dict(zip(model.where.tolist(), model.weights.tolist())) == pytest.approx(expected, rel=1e-5) and 0 < len(expected) < len(known)
+    assert model.intercept == pytest.approx(weight(len(known)))
+
+
+def test_sample_of_repeated_ids_is_fixed(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, y int")
+    rows = [(1, "b"), (1, "a"), (1, "c"), (2, None), (2, "x"), (3, "y")]
+    found = set()
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        found.add(tuple(sorted(map(tuple, sampling.labelled(docs, labels, "y", F.lit(True), 10).collect()))))
+    assert len(found) == 1 and [r[0] for r in found.pop()] == [1, 2]
 
 
 def test_attention_gradients_are_right():
@@ -330,6 +370,9 @@ def test_encode_and_decode_tables(spark):
     model = pieces.read_model(spark, pieces.DEFAULT_MODEL)
     coded = pieces.encode(odd, model)
     back = pieces.decode(coded, model, text="again").collect()
+    assert pieces.decode(coded, model).collect()[0]._text == back[0].again
+    clash = pieces.encode(odd.withColumn("ids", F.lit("own")), model).collect()
+    assert {r.ids for r in clash} == {"own"} and [r._ids for r in clash] == [r.ids for r in coded.collect()]
     assert all(r.again == r.text for r in back) and len(back) == odd.count()
     assert next(r.ids for r in back if r.doc_id == 2) == [] and next(r.ids for r in back if r.doc_id == 1) is None
     assert pieces.encode(odd.limit(0), model).count() == 0
