@@ -28,12 +28,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learned = table(spark, sf_dir, "documents").select("doc_id", "text")
     settings = ftrl.Settings()
     model = ftrl.train(learned, table(spark, sf_dir, "labels"), "toxic", fold() != HELD_OUT, settings)
-    return ftrl.score(docs, model, "toxicity_score").where(F.col("toxicity_score") < settings.threshold).select(*docs.columns)
+    scored = ftrl.score(docs, model, "toxicity_score")  # the last column, by whatever name is free
+    return scored.where(F.col(scored.columns[-1]) < settings.threshold).select(*docs.columns)
 
 
 def boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut lines that many sites share; n_chars follows the text."""
-    cleaned = line_spread.drop_boilerplate(docs, copies_only=True).select(*docs.columns)
+    cleaned = line_spread.drop_boilerplate(docs).select(*docs.columns)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
