@@ -228,7 +228,9 @@ def _level(todo: DataFrame, level: int, space: Workspace, s: Settings) -> DataFr
     dealt = dealt.select(
         F.pmod(F.xxhash64(F.lit(level), "content"), F.lit(buckets)).alias("bucket"), "salt", "uid", "id", "n", "h", "sha", "content"
     )
-    dealt = dealt.repartition(min(buckets, s.most_partitions), "bucket", "salt").sortWithinPartitions("bucket", "salt")
+    # Buckets are of one size, so each has its own partition as far as there are partitions; shares of a hot text spread over all.
+    partition = F.pmod(F.col("bucket") + F.col("salt") + 1, F.lit(min(buckets, s.most_partitions))).cast("int")
+    dealt = dealt.repartitionById(min(buckets, s.most_partitions), partition).sortWithinPartitions("bucket", "salt")
     return space.stage(dealt.mapInArrow(_resolve(s), LEVEL), f"level-{level}")
 
 
