@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,25 +10,23 @@ from pyspark.sql import DataFrame, functions as F
 def distinct_array(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """One row per key with the sorted distinct non-null values of each column.
 
-    Pairs are made distinct before they are collected: the first shuffle is on
-    key and value, so a key with very many rows arrives as its few values only.
+    All columns go through one scan and one grouping: a row becomes one value
+    per column, and these are made distinct before they are collected. The first
+    shuffle is on key and value, so a key with very many rows arrives as its few
+    values only.
     """
-
-    def collected(col: str) -> DataFrame:
-        return (
-            df.select(*keys, col)
-            .distinct()
-            .groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(col)).alias(col))
-        )
-
-    frames = [collected(c) for c in cols]
-    if len(frames) == 1:
-        return frames[0]
-
-    def merge(left: DataFrame, right: DataFrame) -> DataFrame:
-        other = right.select(*[F.col(k).alias(f"__{k}") for k in keys], right.columns[-1])
-        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-        return left.join(other, same, "inner").drop(*[f"__{k}" for k in keys])
-
-    return reduce(merge, frames)
+    names = [spare_name(df, f"__{i}") for i in range(len(cols))]
+    # A field per column keeps each type; all but one of them are NULL.
+    fields = [
+        F.struct(*[(F.col(c) if i == j else F.lit(None).cast(df.schema[c].dataType)).alias(n) for j, (c, n) in enumerate(zip(cols, names))])
+        for i in range(len(cols))
+    ]
+    values = df.select(*keys, F.inline(F.array(*fields))).distinct()
+    return values.groupBy(*keys).agg(*[F.sort_array(F.collect_list(n)).alias(c) for c, n in zip(cols, names)])
+
+
+def spare_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores put before it until no column of ``df`` has that name."""
+    while wanted in df.columns:
+        wanted = "_" + wanted
+    return wanted

@@ -7,11 +7,13 @@ NULL condition does not match. Conditions are built from ``has``, ``like``,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from adloom.sources.staging import stage
+
 
 @dataclass(frozen=True)
 class Like:
@@ -89,3 +91,33 @@ def classify(df: DataFrame, out: str, rules: Sequence[tuple[str, object]], defau
     otherwise = default if isinstance(default, Column) else F.lit(default)
     found = F.coalesce(F.expr(f"CASE {arms} END"), otherwise)
     return lowered.withColumn(out, found).drop(*[_lowered(c).strip("`") for c in tested])
+
+
+def _tested(condition) -> set[str]:
+    """Columns that a condition looks at."""
+    if isinstance(condition, Like):
+        return {condition.column}
+    if isinstance(condition, No):
+        return _tested(condition.part)
+    return set().union(*(_tested(p) for p in condition.parts))
+
+
+def classify_by_map(
+    df: DataFrame,
+    out: str,
+    rules: Sequence[tuple[str, object]],
+    default: Column | str,
+    also: Sequence[str] = (),
+    store: Callable[[DataFrame, str], DataFrame] = stage,
+) -> DataFrame:
+    """As ``classify``, but the rules are tried once for each distinct tuple of the columns they look at, not once for each row.
+
+    The map of tuples is stored, so Spark knows its size: it is broadcast below
+    the threshold and shuffled (hot tuples split) beyond it. Tuples with NULLs
+    match their like. ``also`` names columns that only the default looks at.
+    """
+    columns = sorted(set().union(*(_tested(c) for _, c in rules), also))
+    found = store(classify(df.select(*columns).distinct(), out, rules, default), "classes")
+    renamed = found.select(*[F.col(c).alias(f"__{c}") for c in columns], out)
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns]
+    return df.join(renamed, same, "left").drop(*[f"__{c}" for c in columns])

@@ -106,6 +106,10 @@ def parse_envelope(
 ) -> DataFrame:
     """Parse ``data`` once and return one typed column per field plus ``keep``.
 
+    ``data`` is a JSON text, or a VARIANT as ``as_variant`` makes it: then nothing
+    is parsed here, and members are read by their type. Of the latter a number
+    read as text is spelled plainly (``1.50`` as ``1.5``).
+
     ``keys`` are the columns that will tell rows apart. A key that is NULL
     because its text does not parse would merge rows that have nothing in
     common, so such rows are left out, as are rows whose document does not
@@ -129,13 +133,36 @@ def rejects(
     return parsed.select(_reason(wanted, keys).alias("reason"), F.col("__data").alias(data), *keep).where("reason IS NOT NULL")
 
 
+def outcomes(
+    df: DataFrame, wanted: Sequence[Field], keep: Sequence[str] = (), data: str = "data", keys: Sequence[str] = ()
+) -> DataFrame:
+    """What ``parse_envelope`` keeps and what ``rejects`` returns, in one pass: the fields, ``keep``, ``reason`` and the document.
+
+    Kept rows have neither reason nor document, rejected ones no fields.
+    """
+    parsed = _parse(df, wanted, keep, False, data, keys).withColumn("reason", _reason(wanted, keys))
+    given = [F.when(F.col("reason").isNull(), F.col(f.name)).alias(f.name) for f in wanted]
+    return parsed.select(*given, *keep, "reason", F.when(F.col("reason").isNotNull(), F.col("__data")).alias(data))
+
+
+def as_variant(df: DataFrame, data: str = "data") -> DataFrame:
+    """Parse the documents once, for good: ``data`` becomes a VARIANT, and ``malformed`` holds the text of what is no object.
+
+    A blank text is no document. An object that names a member twice counts as
+    malformed.
+    """
+    parsed = df.withColumn("__variant", F.when(F.ltrim(data).startswith("{"), F.try_parse_json(data)))
+    bad = F.when(F.col("__variant").isNull() & (F.trim(data) != ""), F.col(data)).alias("malformed")
+    return parsed.select(*[F.col("__variant").alias(c) if c == data else F.col(c) for c in df.columns], bad)
+
+
 def _typed_keys(wanted: Sequence[Field], keys: Sequence[str]) -> list[Field]:
     return [f for f in wanted if f.name in keys and f.kind != "text"]
 
 
 def _reason(wanted: Sequence[Field], keys: Sequence[str]) -> Column:
     """Why a parsed row is rejected, or NULL."""
-    arms = F.when(F.col("__data").isNull(), "no document").when(F.col("__corrupt").isNotNull(), "malformed document")
+    arms = F.when(F.col("__none"), "no document").when(F.col("__corrupt").isNotNull(), "malformed document")
     for f in _typed_keys(wanted, keys):
         arms = arms.when(F.col(f"__text_{f.name}").isNotNull() & F.col(f.name).isNull(), f"{f.key} does not parse")
     return arms
@@ -144,7 +171,44 @@ def _reason(wanted: Sequence[Field], keys: Sequence[str]) -> Column:
 def _parse(
     df: DataFrame, wanted: Sequence[Field], keep: Sequence[str], strict: bool, data: str, keys: Sequence[str]
 ) -> DataFrame:
-    """``__data``, ``__corrupt`` (set if the document does not parse), one typed column per field, ``__text_<name>`` of every typed key, and ``keep``."""
+    """``__data``, ``__none`` (no document), ``__corrupt`` (set if it does not parse), one typed column per field, ``__text_<name>`` of every typed key, and ``keep``."""
+    read = _variant_members if isinstance(df.schema[data].dataType, T.VariantType) else _json_members
+    texts = read(df, wanted, keep, data)
+    typed = {f"__text_{f.name}": F.col(f.name) for f in _typed_keys(wanted, keys)}
+    typed |= {f.name: f.read(F.col(f.name), strict) for f in wanted if f.kind != "text" and not f.nested}
+    return texts.withColumns(typed) if typed else texts
+
+
+def _variant_members(df: DataFrame, wanted: Sequence[Field], keep: Sequence[str], data: str) -> DataFrame:
+    def path(key: str) -> str:
+        quote = '"' if "'" in key else "'"
+        return "'" + f"$[{quote}{key}{quote}]".replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def member(f: Field) -> str:
+        if f.nested:
+            return f"try_variant_get(__doc, {path(f.key)}, '{f.ddl}') AS `{f.name}`"
+        text = f"try_variant_get(__doc, {path(f.key)}, 'string')"
+        # Only a text with a leading bracket may be a container; its type decides.
+        container = f"rlike(schema_of_variant(try_variant_get(__doc, {path(f.key)}, 'variant')), '^(OBJECT|ARRAY)')"
+        return f"CASE WHEN (startswith({text}, '{{') OR startswith({text}, '[')) AND {container} THEN NULL ELSE {text} END AS `{f.name}`"
+
+    def misshapen(f: Field) -> str:
+        """Text of a document whose member is there in another shape; a text document does not parse then either."""
+        given = f"try_variant_get(__doc, {path(f.key)}, 'variant')"
+        lost = f"try_variant_get(__doc, {path(f.key)}, '{f.ddl}') IS NULL AND {given} IS NOT NULL AND NOT is_variant_null({given})"
+        return f"CASE WHEN {lost} THEN to_json(__doc) END"
+
+    document = df.selectExpr(f"`{data}` AS __doc", "malformed", *[f"`{c}` AS `__keep_{c}`" for c in keep])
+    return document.selectExpr(
+        "coalesce(malformed, to_json(__doc)) AS __data",
+        "__doc IS NULL AND malformed IS NULL AS __none",
+        f"coalesce({', '.join(['malformed', *[misshapen(f) for f in wanted if f.nested], 'NULL'])}) AS __corrupt",
+        *[member(f) for f in wanted],
+        *[f"`__keep_{c}` AS `{c}`" for c in keep],
+    )
+
+
+def _json_members(df: DataFrame, wanted: Sequence[Field], keep: Sequence[str], data: str) -> DataFrame:
     schema = ", ".join(f"`{key}` {ddl}" for key, ddl in {f.key: f.ddl for f in wanted}.items()) + ", __corrupt string"
     corrupt = {"columnNameOfCorruptRecord": "__corrupt"}
     kept = [f"__keep_{c}" for c in keep]
@@ -153,15 +217,13 @@ def _parse(
     # filters and join conditions above the parse; as a plain projection Spark
     # would copy the parse into every one of them.
     members = document.select("__data", *kept, F.inline_outer(F.array(F.from_json("__data", schema, corrupt))))
-    texts = members.selectExpr(
+    return members.selectExpr(
         "__data",
+        "__data IS NULL OR trim(__data) = '' AS __none",
         "__corrupt",
         *[f"`{f.key}` AS `{f.name}`" if f.nested else _scalar(f.key, f.name) for f in wanted],
         *[f"`{k}` AS `{c}`" for c, k in zip(keep, kept)],
     )
-    typed = {f"__text_{f.name}": F.col(f.name) for f in _typed_keys(wanted, keys)}
-    typed |= {f.name: f.read(F.col(f.name), strict) for f in wanted if f.kind != "text" and not f.nested}
-    return texts.withColumns(typed) if typed else texts
 
 
 def _container(value: Column) -> Column:
@@ -207,7 +269,9 @@ def flatten_names(
         df.select(doc.alias("__json"))
         .select(F.col("__json").getField(key).alias(key), F.explode(items).alias("__item"))
         .select(key, F.explode(names).alias("__inner"))
-        .select(key, F.when(~_container(element), element.cast("string")).alias(out))
+        .select(key, element.cast("string").alias(out), element.alias("__element"))
+        # Only a text with a leading bracket may be a container; its type decides.
+        .select(key, F.when(~((F.col(out).startswith("{") | F.col(out).startswith("[")) & _container(F.col("__element"))), F.col(out)).alias(out))
     )
     # Reloads repeat every row: reduce to distinct pairs first, so no group
     # carries its repeats into the join of names.

@@ -32,6 +32,16 @@ _KIND = "CASE o_orderkey % 6 WHEN 0 THEN 'Date does not parse' WHEN 1 THEN 'malf
 )
 def bad_rows_kept(t: Tables) -> DataFrame:
     """Kept and rejected rows add up to the input: keys that do not parse never merge rows."""
+    run = Run(Streams(t.spark, given={"dv360.standard": bad_documents(t)}))
+    kept = run.model("dv360_standard", TOURISM).agg(F.lit("kept").alias("outcome"), F.count("*").alias("n"), F.sum("clicks").alias("clicks"))
+    rejected = run.rejects("dv360_standard", TOURISM).groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n"))
+    every = t.orders.agg(F.lit("all").alias("outcome"), F.count("*").alias("n"))
+    nothing = F.lit(None).cast("bigint")
+    return kept.unionByName(rejected.withColumn("clicks", nothing)).unionByName(every.withColumn("clicks", nothing))
+
+
+def bad_documents(t: Tables) -> DataFrame:
+    """A raw table with one document per order, as ``_KIND`` says."""
     rows = t.sql(
         f"""SELECT {_KIND} AS kind, CAST(o_orderkey AS STRING) AS id, replace(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', '/') AS day,
             CAST(o_custkey % 9 AS STRING) AS clicks FROM {{orders}}"""
@@ -43,13 +53,7 @@ def bad_rows_kept(t: Tables) -> DataFrame:
     }
     whole = as_envelope(rows, members | {"Creative": F.col("kind")})
     cut = F.when(F.col("data").contains("malformed"), F.substring("data", 1, 20)).otherwise(F.col("data"))
-    streams = Streams(t.spark, given={"dv360.standard": whole.withColumn("data", cut)})
-    run = Run(streams)
-    kept = run.model("dv360_standard", TOURISM).agg(F.lit("kept").alias("outcome"), F.count("*").alias("n"), F.sum("clicks").alias("clicks"))
-    rejected = run.rejects("dv360_standard", TOURISM).groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n"))
-    every = t.orders.agg(F.lit("all").alias("outcome"), F.count("*").alias("n"))
-    nothing = F.lit(None).cast("bigint")
-    return kept.unionByName(rejected.withColumn("clicks", nothing)).unionByName(every.withColumn("clicks", nothing))
+    return whole.withColumn("data", cut)
 
 
 # --- parsed tables and windows -----------------------------------------------------

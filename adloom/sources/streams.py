@@ -7,13 +7,14 @@ Models ask a ``Streams`` for the frames they need. Streams come from a folder
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from adloom.operators.envelope import LATEST, LOAD_COLUMNS, Field, json_member, parse_envelope, rejects
+from adloom.operators.envelope import LATEST, LOAD_COLUMNS, Field, json_member, outcomes, parse_envelope, rejects
 from adloom.operators.latest import LatestTable
 from adloom.sources import raw, sinks
 
@@ -111,7 +112,7 @@ class Streams:
             if kept is not None:
                 table = kept.rows(typed_schema(wanted, keep))
             else:
-                table = self.spark.read.parquet(parsed_path(self.parsed, name, label))
+                table = self._parsed(name, label)
                 if first is not None:
                     table = table.where(F.col("loaded_on") >= F.lit(first))
             if advertiser is not None:
@@ -127,6 +128,13 @@ class Streams:
             found = parse_envelope(source, wanted, keep, strict, keys=keys)
         return found if first is None else found.where(F.col(day) >= F.lit(str(first)))
 
+    def _parsed(self, name: str, label: str) -> DataFrame:
+        """The kept rows of a parsed table; one in buckets where ``store_bucketed`` made it."""
+        table = bucketed_name(self.parsed, name, label)
+        if self.spark.catalog.tableExists(table):
+            return self.spark.table(table)
+        return self.spark.read.parquet(parsed_path(self.parsed, name, label)).where("outcome = 'kept'")
+
     def read(self, name: str, label: str) -> DataFrame:
         for key in (f"{name}@{label}", name):
             if key in self.given:
@@ -160,18 +168,57 @@ def store_parsed(
 ) -> DataFrame:
     """Parse a stream once into a typed table by day of load (a shared report by advertiser first); returns the rejects.
 
-    With ``as_of`` set only rows loaded within the window are parsed, and only
-    their days of load are replaced.
+    Kept and rejected rows are written by the same pass, as partitions of their
+    own, and counted on the way (``stored_counts``). With ``as_of`` set only rows
+    loaded within the window are parsed, and only their days of load are replaced.
     """
     source = streams.read(name, label)
     first = streams.first_day(name)
     if first is not None:
         source = source.where(F.col("_sdc_extracted_at") >= F.lit(first))
-    rows = parse_envelope(source, wanted, list(LOAD_COLUMNS), strict, keys=keys)
-    by = ["advertiser", "loaded_on"] if name in SHARED else ["loaded_on"]
-    dated = rows.withColumn("loaded_on", F.to_date("_sdc_extracted_at"))
-    sinks.replace_partitions(dated, parsed_path(root, name, label), by)
-    return rejects(source, wanted, LATEST, keys=keys)
+    if strict:
+        rows = parse_envelope(source, wanted, list(LOAD_COLUMNS), strict, keys=keys)
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("reason", "data")})
+    else:
+        rows = outcomes(source, wanted, list(LOAD_COLUMNS), keys=keys)
+    bad = F.col("reason").isNotNull()
+    by = ["outcome", "advertiser", "loaded_on"] if name in SHARED else ["outcome", "loaded_on"]
+    dated = rows.withColumn("loaded_on", F.to_date("_sdc_extracted_at")).withColumn("outcome", F.when(bad, "rejected").otherwise("kept"))
+    counts = Observation()
+    dated = dated.observe(counts, F.count_if(~bad).alias("kept"), F.count_if(bad).alias("rejected"))
+    path = parsed_path(root, name, label)
+    sinks.replace_partitions(dated, path, by)
+    stored_counts[path] = counts.get
+    stored = streams.spark.read.schema(dated.schema).parquet(path).where("outcome = 'rejected'")
+    if first is not None:
+        stored = stored.where(F.col("loaded_on") >= F.lit(first))
+    return stored.select("reason", "data", *LATEST)
+
+
+#: Kept and rejected rows of the last pass over each parsed table, by its path.
+stored_counts: dict[str, dict[str, int]] = {}
+
+
+def bucketed_name(root: str, name: str, label: str) -> str:
+    """The catalogue's name of a parsed table in buckets."""
+    place = hashlib.blake2b(parsed_path(root, name, label).encode(), digest_size=8).hexdigest()
+    return f"parsed_{name.replace('.', '_')}_{place}"
+
+
+def store_bucketed(streams: Streams, name: str, label: str, by: Sequence[str], root: str, buckets: int = 64) -> None:
+    """Keep the parsed table of a stream in buckets of ``by``, part of its key: picks and joins on it then need no exchange.
+
+    Tables that will be joined take equal columns, types and numbers of buckets.
+    """
+    rows = streams.spark.read.parquet(parsed_path(root, name, label)).where("outcome = 'kept'").drop("outcome", "reason", "data")
+    (
+        rows.repartition(buckets, *by)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *by)
+        .sortBy(*by)
+        .option("path", f"{parsed_path(root, name, label)}__buckets")
+        .saveAsTable(bucketed_name(root, name, label))
+    )
 
 
 def store_latest(
@@ -182,7 +229,7 @@ def store_latest(
     Rows count by their day of load, so a reload corrects days that lie before
     the window too. Without ``as_of`` all loads are compared again.
     """
-    rows = streams.spark.read.parquet(parsed_path(streams.parsed, name, label))
+    rows = streams._parsed(name, label)
     first = streams.first_day(name)
     if first is not None:
         rows = rows.where(F.col("loaded_on") >= F.lit(first))
