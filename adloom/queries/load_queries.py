@@ -189,13 +189,13 @@ def variant_as_text(t: Tables) -> DataFrame:
 
 
 def bucketed_tiktok(t: Tables) -> Streams:
-    """Parsed daily metrics in buckets of the ad."""
+    """Parsed daily metrics in buckets of their key."""
     given = _tiktok_streams(t)
     folder = Staging(t.spark).folder
     source = Streams(t.spark, given=given)
     for name, wanted in (("tiktok.basic", payloads.TIKTOK_BASIC), ("tiktok.video", payloads.TIKTOK_VIDEO)):
         store_parsed(source, name, "mountain", wanted, ["ad_id", "date"], folder)
-        store_bucketed(source, name, "mountain", ["ad_id"], folder, buckets=8)
+        store_bucketed(source, name, "mountain", ["ad_id", "date"], folder, buckets=8)
     store_parsed(source, "tiktok.ads", "mountain", payloads.TIKTOK_ADS, [], folder)
     return Streams(t.spark, parsed=folder)
 

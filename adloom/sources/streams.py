@@ -206,9 +206,10 @@ def bucketed_name(root: str, name: str, label: str) -> str:
 
 
 def store_bucketed(streams: Streams, name: str, label: str, by: Sequence[str], root: str, buckets: int = 64) -> None:
-    """Keep the parsed table of a stream in buckets of ``by``, part of its key: picks and joins on it then need no exchange.
+    """Keep the parsed table of a stream in buckets of ``by``, its key: picks and joins on it then need no exchange.
 
-    Tables that will be joined take equal columns, types and numbers of buckets.
+    Picks do with buckets of a part of the key, joins want all of it. Tables that
+    will be joined take equal columns, types and numbers of buckets.
     """
     rows = streams.spark.read.parquet(parsed_path(root, name, label)).where("outcome = 'kept'").drop("outcome", "reason", "data")
     (
