@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding by a streaming Viterbi pass.
 
 For every boundary of the text the pass keeps one surviving path: the best
-sequence of pieces that ends there, as a back pointer. A piece has at most
-``longest`` characters, so only that many boundaries can still be extended.
-Whenever the back pointers of all of them lead to one boundary, everything
-before it is final: its ids are committed and its pointers dropped.
+sequence of pieces that ends there, as a back pointer. A boundary can still be
+extended while the text behind it is the beginning of a piece, so for at most
+``longest`` characters. Whenever the back pointers of all boundaries that can be
+extended lead to one boundary, everything before it is final: its ids are
+committed and its pointers dropped.
 
 What makes a path survive depends on the model. In a unigram model it is the
 sum of piece scores. In a BPE model a path is the one that merging would give
@@ -15,8 +16,8 @@ boundary, and the result equals merging the whole text.
 White space becomes U+2581, one is put before a text that isn't empty, and
 characters without a piece become byte pieces (or the unknown piece where the
 model has none). No piece holds U+2581 after another character, so paths always
-converge there; stretches between such boundaries are remembered, up to a
-bound, as most of them repeat.
+converge before one, and what was committed up to the next is remembered for
+the next time, up to a bound.
 
 Defined results: a null text gives null ids, an empty one no ids; decoding null
 ids gives null. A U+2581 in a text decodes to a space, as in any model that
@@ -40,9 +41,7 @@ from adloom.llm.workspace import spare_name
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stretches, and pairs of pieces, that a worker remembers at most: about 200 bytes each.
-REMEMBERED = 1_000_000
-#: Stretches of up to this many characters are one window.
-SHORT = 64
+REMEMBERED = 400_000
 
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -75,6 +74,21 @@ class Vocabulary:
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
 
 
+#: Mark of a node of ``_tree`` where a piece ends.
+PIECE = ""
+
+
+def _tree(pieces) -> dict:
+    """The pieces as a tree of dicts by letter."""
+    root: dict = {}
+    for piece in pieces:
+        node = root
+        for letter in piece:
+            node = node.setdefault(letter, {})
+        node[PIECE] = True
+    return root
+
+
 class Remembered(dict):
     """A dict that computes missing values, and starts anew when it is full."""
 
@@ -96,7 +110,8 @@ class Codec:
         self.whole = {} if vocabulary.unigram else {p: s for p, s in vocabulary.scores.items() if self.merged(p) == [p]}
         self.apart: dict[str, dict[str, bool]] = defaultdict(dict)
         self.pairs = 0
-        self.stretches = Remembered(lambda text: np.array(self.stretch(text), np.int32).tobytes())
+        self.starts = _tree(vocabulary.scores if vocabulary.unigram else self.whole)
+        self.stretches = Remembered(lambda text: np.array(self.stream(text), np.int32).tobytes())
 
     # --- encoding
 
@@ -141,81 +156,60 @@ class Codec:
             border -= at < border
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def stretch(self, text: str) -> list[int]:
-        """Ids of a stretch; a short one fits a window, so it needs no committing on the way."""
-        if self.v.unigram or len(text) > SHORT:
-            return self.stream(text)
-        whole, apart, longest = self.whole, self.apart, self.v.longest
-        before: list[str | None] = [None]
-        for end in range(1, len(text) + 1):
-            best = None
-            for begin in range(end - 1, max(-1, end - longest - 1), -1):
-                piece = text[begin:end]
-                if piece not in whole and begin != end - 1:
-                    continue
-                last = before[begin]
-                if last is not None:
-                    fits = apart[last].get(piece)
-                    if fits is None:
-                        fits = self.stay_apart(last, piece)
-                    if not fits:
-                        continue
-                elif begin:
-                    continue
-                best = piece
-                break
-            before.append(best)
-        out: list[int] = []
-        self.flush(out, before, len(text), 0)
-        return out
-
     def stream(self, text: str) -> list[int]:
         """Ids of ``text``, committing whenever the surviving paths have converged."""
-        v, longest, out = self.v, self.v.longest, []
-        known, unigram, apart, whole = v.scores, v.unigram, self.apart, self.whole
+        v, out, start = self.v, [], self.starts
+        unigram, apart, longest = v.unigram, self.apart, v.longest
         base = 0  # boundary up to which ids are committed; lists begin there
         before: list[str | None] = [None]  # last piece of the path that ends at each boundary
         total = [0.0]
-        check = 4 * longest
-        for end in range(1, len(text) + 1):
-            best, best_total = None, 0.0
-            for size in range(1, min(longest, end - base) + 1):
-                piece = text[end - size : end]
-                score = known.get(piece)
-                if score is None:
-                    if size > 1:
+        live: list[tuple[int, dict]] = [(0, start)]  # boundaries that can be extended, the last first, and where in the tree they are
+        check = longest
+        for end, letter in enumerate(text, 1):
+            best, best_total, still = None, 0.0, []
+            newest = end - 1
+            for begin, node in live:
+                node = node.get(letter)
+                if node is None:
+                    if begin != newest:
                         continue
-                    score = v.unknown_score
+                    piece = letter  # no piece begins so: a character may always stand alone
+                else:
+                    if len(node) > (PIECE in node):
+                        still.append((begin, node))
+                    if PIECE not in node:
+                        if begin != newest:
+                            continue
+                        piece = letter
+                    else:
+                        piece = text[begin:end]
                 if unigram:
-                    if best is None or total[end - size - base] + score > best_total:
-                        best, best_total = piece, total[end - size - base] + score
-                    continue
-                last = before[end - size - base]
-                if last is None and (end - size != base or base and out):
-                    continue
-                if size > 1 and piece not in whole:
-                    continue
-                if last is not None:
-                    fits = apart[last].get(piece)
-                    if not (self.stay_apart(last, piece) if fits is None else fits):
-                        continue
-                best = piece
-                break
+                    score = total[begin - base] + v.scores.get(piece, v.unknown_score)
+                    if best is None or score > best_total:
+                        best, best_total = piece, score
+                elif best is None:  # the shortest piece that stays apart from the one before it
+                    last = before[begin - base]
+                    if last is not None:
+                        fits = apart[last].get(piece)
+                        if not (self.stay_apart(last, piece) if fits is None else fits):
+                            continue
+                    best = piece
             before.append(best)
             total.append(best_total)
-            if end - base >= check:
-                base, before, total = self.commit(out, base, before, total, longest)
-                check = max(4 * longest, 2 * len(before))
+            live = [(end, start), *still] if best is not None else still
+            if len(live) == 1 and best is not None or end - base >= check:
+                base, before, total = self.commit(out, base, before, total, [begin for begin, _ in live])
+                check = max(longest, end - base + 4)
         self.flush(out, before, len(before) - 1, 0)
         return out
 
-    def commit(self, out: list[int], base: int, before: list, total: list, longest: int):
-        """Commit up to the last boundary that all paths which can still grow go through, if that is past ``base``."""
-        at = {i for i in range(max(0, len(before) - longest), len(before))}
+    def commit(self, out: list[int], base: int, before: list, total: list, live: list[int]):
+        """Commit up to the last boundary that the paths to all ``live`` boundaries go through, if that is past ``base``."""
+        at = {i - base for i in live}
         while len(at) > 1:
             far = max(at)
             at.discard(far)
-            at.add(far - len(before[far]) if before[far] is not None else 0)
+            at.add(far - len(before[far]))
         cut = at.pop()
         if cut <= 0:
             return base, before, total
