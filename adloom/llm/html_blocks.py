@@ -353,7 +353,8 @@ def labelled_pages(n: int, seed: int = 0) -> list[tuple[str, list[int]]]:
     """Pages of many layouts with the label of every leaf block, 1 for main text.
 
     Layout, depth, class words, order and text lengths vary; words are letters
-    at random, so only structure and form can be learned.
+    at random, so only structure and form can be learned. Some articles lie in the
+    body itself, and some pages are nothing but their text.
     """
     rng = random.Random(seed)
 
@@ -367,6 +368,9 @@ def labelled_pages(n: int, seed: int = 0) -> list[tuple[str, list[int]]]:
         text = words(low, high).capitalize()
         if rng.random() < 0.12:
             text = " ".join(w + rng.choice(["***", "###", "%%%", "!!"]) for w in text.split())
+        if rng.random() < 0.08:  # numbers, codes and long tokens
+            odd = ["".join(rng.choice("0123456789abcdef-") for _ in range(rng.randint(6, 40))), str(rng.randint(0, 10**9)), f"{rng.randint(1, 31)}.{rng.randint(1, 12)}.{rng.randint(1990, 2030)}"]
+            text = " ".join(rng.choice(odd) if rng.random() < rng.choice([0.2, 0.9]) else w for w in text.split())
         return text + rng.choice([".", ".", ".", "!", "?", ""])
 
     def prose(low: int, high: int) -> str:
@@ -413,12 +417,12 @@ def labelled_pages(n: int, seed: int = 0) -> list[tuple[str, list[int]]]:
                 box("div", ("cookie", "cookie notice", "consent", "alert notice", "newsletter", "popup", "subscribe"))
 
         def article():
-            holder = rng.choice(["article", "article", "article", "main", "div", "div", "section", "main article"])
+            holder = rng.choice(["article", "article", "article", "article", "main", "main", "div", "div", "div", "section", "main article", "", ""])
             outer = holder.split()
             for tag in outer[:-1]:
                 add(f"<{tag}>")
-            tag = outer[-1]
-            add(f"<{tag}>" if tag in ("article", "main") and rng.random() < 0.7 else f'<{tag} class="{rng.choice(("content", "post", "entry content", "story", "article body", "post text", "main content"))}">')
+            tag = outer[-1] if outer else ""
+            add("" if not outer else f"<{tag}>" if tag in ("article", "main") and rng.random() < 0.7 else f'<{tag} class="{rng.choice(("content", "post", "entry content", "story", "article body", "post text", "main content"))}">')
             if rng.random() < 0.85:
                 add(f"<h1>{words(3, 12)}</h1>", 1)
             if rng.random() < 0.15:
@@ -448,7 +452,13 @@ def labelled_pages(n: int, seed: int = 0) -> list[tuple[str, list[int]]]:
                     box("div", ("ad", "ads", "advert", "sponsored", "newsletter", "related", "share social"))
             add("".join(f"</{t}>" for t in reversed(outer)))
 
-        add(f"<!DOCTYPE html><html><head><title>{words(2, 8)}</title><style>p{{}}</style></head><body>")
+        if rng.random() < 0.03:  # text alone, or in paragraphs
+            tag = rng.choice(["", "", "p", "div"])
+            for _ in range(rng.randint(1, 4) if tag else 1):
+                add(f"<{tag}>" * bool(tag) + prose(1, 4) + f"</{tag}>" * bool(tag), 1)
+            out.append(("".join(html), labels))
+            continue
+        add(f"<!DOCTYPE html><html><head><title>{words(2, 8)}</title><style>p{{}}</style></head><body>" if rng.random() < 0.95 else "")
         if rng.random() < 0.4:
             add(open_tag("header", "header", "page header"))
             add(f"<{rng.choice(['div', 'h2', 'p', 'a'])}>{words(1, 6)}", 0)

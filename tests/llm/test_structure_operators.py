@@ -165,16 +165,45 @@ def test_viterbi_is_the_best_path():
     assert tuple(chain.labels(x)) == best
 
 
-def test_pages_of_the_table(spark, data):
+def article_text(html: str) -> str:
+    """The article of a page of the tables, cut out by its tags."""
     import html as entities
 
+    body = re.search(r"<article>(.*)</article>", html, re.S)[1]
+    parts = [" ".join(entities.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", x))).split()) for x in re.split(r"</?(?:p|h1)>", body)]
+    return "\n\n".join(x for x in parts if x)
+
+
+def test_every_page_keeps_its_article(spark):
+    chain = html_blocks.trained()
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "html").collect()
+    assert [r.page_id for r in pages if html_blocks.main_text(r.html, chain) != article_text(r.html)] == []
+
+
+def test_articles_without_a_container():
+    chain = html_blocks.trained()
+    two = "<p>A first paragraph of some words here.</p><p>Another paragraph follows with more words in it.</p>"
+    both = "A first paragraph of some words here.\n\nAnother paragraph follows with more words in it."
+    around = f'<body><nav><a href="/">Home</a><a href="/a">About</a></nav>{two}<footer><p>&copy; us 2024</p></footer></body>'
+    for page in (f"<body>{two}</body>", two, around, f'<div id="content">{two}</div>'):
+        assert html_blocks.main_text(page, chain) == both, page
+    assert html_blocks.main_text("Only text without any tag, some words long.", chain) == "Only text without any tag, some words long."
+    short = '<nav><a href="/">Home</a></nav><div id="content"><p>Short one.</p><p>This is a longer paragraph that has more words.</p></div>'
+    assert html_blocks.main_text(f"<html><body>{short}</body></html>", chain).startswith("Short one.\n\nThis")
+
+
+def test_extract_keeps_columns_of_its_names(spark):
+    df = spark.createDataFrame([(1, "<article><p>Some words of a text here.</p></article>", "KEEP", 7)], "page_id long, html string, text string, n_chars long")
+    row = html_blocks.extract(df, html_blocks.trained()).first()
+    assert (row.text, row.n_chars, row._text, row._n_chars) == ("KEEP", 7, "Some words of a text here.", 26)
+
+
+def test_pages_of_the_table(spark, data):
     rows = queries.QUERIES["op4_html_crf"](spark, data).collect()
     pages = {r.page_id: r for r in spark.read.parquet(f"{data}/pages.parquet").collect()}
     assert len(rows) == len(pages)
     for r in rows:
-        body = re.search(r"<article>(.*)</article>", pages[r.page_id].html, re.S)[1]
-        parts = [" ".join(entities.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", x))).split()) for x in re.split(r"</?(?:p|h1)>", body)]
-        assert r.text == "\n\n".join(x for x in parts if x)
+        assert r.text == article_text(pages[r.page_id].html)
         assert r.n_chars == len(r.text) and r.url == pages[r.page_id].url
 
 
