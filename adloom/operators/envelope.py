@@ -244,8 +244,9 @@ def flatten_names(
     out: str,
     sep: str = ", ",
     data: str = "data",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Distinct names of a twice nested array, joined per key.
+    """Distinct names of a twice nested array, joined per key, and per columns ``by`` beside the document.
 
     ``outer_path`` leads from the document to the outer array, ``inner_path``
     from an outer element to the inner array and then to the name. Rows with an
@@ -266,16 +267,16 @@ def flatten_names(
     names = reduce(lambda c, step: c.getField(step), inner_array, F.col("__item"))
     element = F.col("__inner").getField(leaf)
     exploded = (
-        df.select(doc.alias("__json"))
-        .select(F.col("__json").getField(key).alias(key), F.explode(items).alias("__item"))
-        .select(key, F.explode(names).alias("__inner"))
-        .select(key, element.cast("string").alias(out), element.alias("__element"))
+        df.select(*by, doc.alias("__json"))
+        .select(*by, F.col("__json").getField(key).alias(key), F.explode(items).alias("__item"))
+        .select(*by, key, F.explode(names).alias("__inner"))
+        .select(*by, key, element.cast("string").alias(out), element.alias("__element"))
         # Only a text with a leading bracket may be a container; its type decides.
-        .select(key, F.when(~((F.col(out).startswith("{") | F.col(out).startswith("[")) & _container(F.col("__element"))), F.col(out)).alias(out))
+        .select(*by, key, F.when(~((F.col(out).startswith("{") | F.col(out).startswith("[")) & _container(F.col("__element"))), F.col(out)).alias(out))
     )
     # Reloads repeat every row: reduce to distinct pairs first, so no group
     # carries its repeats into the join of names.
-    joined = exploded.distinct().groupBy(key).agg(F.sort_array(F.collect_list(out)).alias("__names"))
+    joined = exploded.distinct().groupBy(*by, key).agg(F.sort_array(F.collect_list(out)).alias("__names"))
     return joined.select(
-        key, F.when(F.array_size("__names") > 0, F.array_join("__names", sep)).alias(out)
+        *by, key, F.when(F.array_size("__names") > 0, F.array_join("__names", sep)).alias(out)
     )

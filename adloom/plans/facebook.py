@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adloom.functions.json_arrays import json_first, json_first_match, json_integer, json_last
 from adloom.functions.names import Token, decode_names
 from adloom.operators.arrays import distinct_array
 from adloom.operators.dedup import pick_one
-from adloom.operators.envelope import LATEST, flatten_names
+from adloom.operators.envelope import LATEST, Field, flatten_names, parse_envelope
 from adloom.plans.formats import social_format
 from adloom.plans.labels import Label
 from adloom.sources import payloads
@@ -27,11 +29,17 @@ ACTION_COLUMNS = {
 }
 
 
+_KEYS = ["account_id", "ad_id", "date_start"]
+
+
 def insights(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
     """Latest load per account, ad and day, summed per ad, campaign and ad set."""
-    keys = ["account_id", "ad_id", "date_start"]
-    parsed = streams.rows("facebook.insights", label.name, payloads.FACEBOOK_INSIGHTS, keys, strict, day="date_start")
-    latest = pick_one(parsed, keys, LATEST)
+    parsed = streams.rows("facebook.insights", label.name, payloads.FACEBOOK_INSIGHTS, _KEYS, strict, day="date_start")
+    return _summed(parsed, strict)
+
+
+def _summed(parsed: DataFrame, strict: bool, by: Sequence[str] = ()) -> DataFrame:
+    latest = pick_one(parsed, [*by, *_KEYS], LATEST)
 
     def watched(text):
         return text.cast("bigint") if strict else text.try_cast("bigint")
@@ -48,8 +56,8 @@ def insights(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
         "impressions": F.col("impressions"),
         "media_cost": F.col("spend"),
     }
-    per_ad = latest.select(*_AD_DAY, *[c.alias(n) for n, c in metrics.items()])
-    return per_ad.groupBy(*_AD_DAY).agg(*[F.sum(n).alias(n) for n in metrics])
+    per_ad = latest.select(*by, *_AD_DAY, *[c.alias(n) for n, c in metrics.items()])
+    return per_ad.groupBy(*by, *_AD_DAY).agg(*[F.sum(n).alias(n) for n in metrics])
 
 
 def campaigns(streams: Streams, label: Label) -> DataFrame:
@@ -58,10 +66,10 @@ def campaigns(streams: Streams, label: Label) -> DataFrame:
     return pick_one(parsed, ["campaign_id"], ["start_time"])
 
 
-def interests(raw: DataFrame) -> DataFrame:
+def interests(raw: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Names of the interests an ad targets."""
     return flatten_names(
-        raw, "id", ["targeting", "flexible_spec"], ["interests", "name"], "interest_names"
+        raw, "id", ["targeting", "flexible_spec"], ["interests", "name"], "interest_names", by=by
     ).withColumnRenamed("id", "ad_id")
 
 
@@ -72,9 +80,12 @@ def device_platform(platform: Column) -> Column:
 
 def devices(streams: Streams, label: Label) -> DataFrame:
     """Device platforms an ad was delivered to; all mobile ones count as one."""
-    parsed = streams.rows("facebook.devices", label.name, payloads.FACEBOOK_DEVICES, keep=())
-    named = parsed.select("ad_id", device_platform(F.col("device_platform")).alias("device_platforms"))
-    return distinct_array(named, ["ad_id"], ["device_platforms"])
+    return _platforms(streams.rows("facebook.devices", label.name, payloads.FACEBOOK_DEVICES, keep=()))
+
+
+def _platforms(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    named = parsed.select(*by, "ad_id", device_platform(F.col("device_platform")).alias("device_platforms"))
+    return distinct_array(named, [*by, "ad_id"], ["device_platforms"])
 
 
 # Output order.
@@ -89,40 +100,73 @@ COLUMNS = [
 
 
 def facebook(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
-    stats = insights(streams, label, strict)
-    campaign = campaigns(streams, label).withColumnRenamed("campaign_id", "known_campaign")
     interest = interests(streams.read("facebook.ads", label.name))
-    device = devices(streams, label)
-
+    picked = _enriched(insights(streams, label, strict), campaigns(streams, label), interest, devices(streams, label))
+    return _named(decode_names(social_format(picked, ["campaign_name", "ad_name"]), _tokens(label.facebook_short_name)))
+
+
+def facebook_labels(streams: Streams, labels: Sequence[Label], strict: bool = False) -> DataFrame:
+    """The model of several labels in one plan, the label as first column; every stream is scanned once.
+
+    The label is a part of every key. Settings make one set of decoded columns
+    for each value that labels differ in, however many labels there are.
+    """
+    by, names = ["label"], [label.name for label in labels]
+
+    def rows(name: str, wanted: Sequence[Field], keys: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+        return parse_envelope(streams.read_labels(name, names), wanted, [*keep, *by], strict, keys=keys)
+
+    stats = _summed(rows("facebook.insights", payloads.FACEBOOK_INSIGHTS, _KEYS, LATEST), strict, by)
+    campaign = pick_one(rows("facebook.campaigns", payloads.FACEBOOK_CAMPAIGNS), [*by, "campaign_id"], ["start_time"])
+    interest = interests(streams.read_labels("facebook.ads", names), by)
+    device = _platforms(rows("facebook.devices", payloads.FACEBOOK_DEVICES), by)
+    decoded = social_format(_enriched(stats, campaign, interest, device, by), ["campaign_name", "ad_name"])
+    settings: dict[str | None, list[str]] = {}
+    for label in labels:
+        settings.setdefault(label.facebook_short_name, []).append(label.name)
+    of_label = {out: F.lit(None).cast("string") for out in _tokens(None)}
+    for i, (short, of) in enumerate(settings.items()):
+        decoded = decode_names(decoded, {f"__{i}_{out}": token for out, token in _tokens(short).items()})
+        of_label = {out: F.when(F.col("label").isin(*of), F.col(f"__{i}_{out}")).otherwise(c) for out, c in of_label.items()}
+    return _named(decoded.withColumns(of_label), by)
+
+
+def _enriched(stats: DataFrame, campaign: DataFrame, interest: DataFrame, device: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The stats with their campaign's, ad's and devices' attributes, one row per day, ad and campaign."""
+    campaign = campaign.withColumnsRenamed({"campaign_id": "known_campaign", **{c: f"__{c}" for c in by}})
+    same = [stats.campaign_id == campaign.known_campaign, *[stats[c] == campaign[f"__{c}"] for c in by]]
     # Campaigns first: the joins on ad_id then leave the rows partitioned the
     # way the final pick needs them.
     enriched = (
-        stats.join(campaign, stats.campaign_id == campaign.known_campaign, "left")
-        .join(interest, "ad_id", "left")
-        .join(device, "ad_id", "left")
+        stats.join(campaign, same, "left")
+        .drop(*[f"__{c}" for c in by])
+        .join(interest, [*by, "ad_id"], "left")
+        .join(device, [*by, "ad_id"], "left")
     )
     # Attributes depend on the key alone, so the stats columns settle every tie.
     # Ads of unknown campaigns share the NULL key.
-    picked = pick_one(
+    return pick_one(
         enriched,
-        ["date_start", "ad_id", "known_campaign"],
-        tie_break=[c for c in stats.columns if c not in ("date_start", "ad_id")],
+        [*by, "date_start", "ad_id", "known_campaign"],
+        tie_break=[c for c in stats.columns if c not in ("date_start", "ad_id", *by)],
         number_as="row_number",
     )
 
-    short = label.facebook_short_name
+
+def _tokens(short: str | None) -> dict[str, Token]:
+    """Where the coded columns lie; ``short`` stands for those of a name that is too short."""
     name_guard = {"min_len": 8, "default": short, "null_default": short}
     campaign_guard = {} if short is None else {"min_len": 2, "default": short}
-    decoded = decode_names(
-        social_format(picked, ["campaign_name", "ad_name"]),
-        {
-            "audience_name": Token("adset_name", 7, **name_guard),
-            "ad_format_detail": Token("ad_name", 5, **({} if short is None else name_guard)),
-            "ad_format": Token("ad_name", 6, **({} if short is None else name_guard)),
-            "creative_descr": Token("ad_name", 7, **({} if short is None else name_guard)),
-            "campaign_descr": Token("campaign_name", 1, **campaign_guard),
-        },
-    )
+    return {
+        "audience_name": Token("adset_name", 7, **name_guard),
+        "ad_format_detail": Token("ad_name", 5, **({} if short is None else name_guard)),
+        "ad_format": Token("ad_name", 6, **({} if short is None else name_guard)),
+        "creative_descr": Token("ad_name", 7, **({} if short is None else name_guard)),
+        "campaign_descr": Token("campaign_name", 1, **campaign_guard),
+    }
+
+
+def _named(decoded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return (
         decoded.withColumn("publisher", F.lit("Facebook"))
         .withColumnsRenamed(
@@ -133,5 +177,5 @@ def facebook(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
                 "ad_name": "creative_name",
             }
         )
-        .select(*COLUMNS)
+        .select(*by, *COLUMNS)
     )

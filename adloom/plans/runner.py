@@ -77,12 +77,16 @@ class Run:
             return ga4.ga4_channel(self.stored("ga4_goal", label), self.keep)
         lookup = self.streams.read(LOOKUP_STREAM, label.name)
         if name == "dash_table":
-            sources = {s: self.model(s, label) for s in label.media_sources}
+            sources = {s: self._built(s, label) for s in label.media_sources}
             return dash.dash_table(sources, lookup, label.contract, self.strict, self.keep)
         if name == "dash_table_search":
-            return dash.dash_table_search(self.model("google_ads_search", label), lookup)
+            return dash.dash_table_search(self._built("google_ads_search", label), lookup)
         raise KeyError(f"unknown model {name!r}")
 
+    def _built(self, name: str, label: Label) -> DataFrame:
+        """The model as the run has stored it for another reader, else its plan."""
+        return self._stored.get((name, label.name)) or self.model(name, label)
+
     def stored(self, name: str, label: Label) -> DataFrame:
         key = (name, label.name)
         if key not in self._stored:

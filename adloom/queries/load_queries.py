@@ -13,9 +13,11 @@ from adloom.operators.classify import classify_by_map
 from adloom.operators.envelope import Field, as_variant, fields, json_member, parse_envelope, rejects
 from adloom.operators.latest import LatestTable, Sums
 from adloom.plans import rules
+from adloom.plans.facebook import facebook_labels
+from adloom.plans.labels import MOUNTAIN, TOURISM
 from adloom.plans.runner import run_model
 from adloom.queries.base import Tables, comparable, query
-from adloom.queries.model_queries import _SQL_TIKTOK, _tiktok_streams
+from adloom.queries.model_queries import _SQL_TIKTOK, _facebook_streams, _sql_facebook, _tiktok_streams
 from adloom.queries.operator_queries import _CHANNEL_ROWS, _SPELLED, sql_channel, sql_ga4_publisher
 from adloom.queries.run_queries import _KIND, bad_documents
 from adloom.sources import payloads, raw, sinks
@@ -325,3 +327,20 @@ def sink_catalogue_table(t: Tables) -> DataFrame:
     sinks.save_table(rows.where("value > 50"), name, ["event_type"])
     sinks.save_table(rows, name, ["event_type"])
     return comparable(t.spark.table(name).groupBy("event_type", "day").agg(F.count("*").alias("n"), F.sum("value").alias("value")))
+
+
+# --- labels ------------------------------------------------------------------------------------
+
+_ALL_LABELS = " UNION ALL ".join(f"SELECT '{label.name}' AS label, * FROM ({_sql_facebook(label)}) {label.name}" for label in (TOURISM, MOUNTAIN))
+
+
+@query("labels_facebook", _ALL_LABELS)
+def labels_facebook(t: Tables) -> DataFrame:
+    """Both labels in one plan, with one scan per stream, equal both runs of their own."""
+    by_label = {name: stage(both_labels(rows), "labels") for name, rows in _facebook_streams(t).items()}
+    model = facebook_labels(Streams(t.spark, given=by_label), (TOURISM, MOUNTAIN))
+    return comparable(model).withColumn("device_platforms", F.coalesce("device_platforms", F.lit("")))
+
+
+def both_labels(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("label", F.explode(F.array(F.lit(TOURISM.name), F.lit(MOUNTAIN.name))))

@@ -152,6 +152,19 @@ class Streams:
             return self.spark.read.parquet(f"{self.root}/{name}")
         raise KeyError(name)
 
+    def read_labels(self, name: str, labels: Sequence[str]) -> DataFrame:
+        """The raw rows of an envelope stream of several labels, told apart by a column ``label``, in one scan.
+
+        A given frame has that column itself.
+        """
+        if name in self.given:
+            return self.given[name].where(F.col("label").isin(*labels))
+        if self.root is None or name in SHARED:
+            raise KeyError(f"no stream {name!r} by label")
+        folder = f"{self.root}/{name.split('.')[0]}_raw__"
+        rows = self.spark.read.schema(raw.ENVELOPE).parquet(*[f"{folder}{label}/{ENVELOPE_STREAMS[name]}" for label in labels])
+        return rows.withColumn("label", F.regexp_extract("_metadata.file_path", "_raw__([^/]+)/[^/]+/[^/]*$", 1))
+
     def _windowed(self, table: DataFrame, name: str) -> DataFrame:
         first = self.first_day(name)
         if first is None or name not in TYPED_DAYS:

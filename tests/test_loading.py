@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,11 +13,14 @@ from adloom.operators.classify import classify, classify_by_map, has, like, no,
 from adloom.operators.dedup import pick_one
 from adloom.operators.envelope import LATEST, LOAD_COLUMNS, Field, as_variant, fields, outcomes, parse_envelope, rejects
 from adloom.operators.latest import LatestTable
-from adloom.plans.runner import run_model
+from adloom.plans.facebook import facebook_labels
+from adloom.plans.labels import MOUNTAIN, TOURISM
+from adloom.plans.runner import Run, run_model
 from adloom.queries.base import Tables
 from adloom.queries.load_queries import bucketed_tiktok
+from adloom.queries.model_queries import _facebook_streams
 from adloom.sources import payloads, raw
-from adloom.sources.streams import Streams, store_latest, store_parsed, stored_counts
+from adloom.sources.streams import ENVELOPE_STREAMS, Streams, store_latest, store_parsed, stored_counts
 
 
 def plan(df):
@@ -208,3 +212,28 @@ def test_reports_with_drift_and_broken_rows(spark, tmp_path):
     ]
     drift = {r.file.rsplit("/", 1)[1]: r.drift for r in raw.report_files(spark, str(tmp_path / "r"), columns).collect()}
     assert drift["good.csv"] is None and drift["header.csv"] is None and len(drift) == 5
+
+
+# --- labels
+
+
+def test_labels_share_one_scan_per_stream(spark, data, tmp_path):
+    streams = _facebook_streams(Tables(spark, data))
+    for name, rows in streams.items():
+        for label, part in (("tourism", rows.where("hash(data) % 3 <> 0")), ("mountain", rows.where("hash(data) % 2 = 0"))):
+            part.write.parquet(f"{tmp_path}/facebook_raw__{label}/{ENVELOPE_STREAMS[name]}")
+    root = Streams(spark, root=str(tmp_path))
+    both = facebook_labels(root, (TOURISM, MOUNTAIN))
+    physical = plan(both).split("Physical Plan")[-1]
+    assert physical.count("FileScan") == len(streams) == 4
+    for label in (TOURISM, MOUNTAIN):
+        alone = run_model("facebook", label, root)
+        assert alone.count() and listed(both.where(F.col("label") == label.name).drop("label")) == listed(alone)
+
+
+def test_models_that_a_run_has_stored_are_not_built_again(spark):
+    run = Run(Streams(spark, given={"google_ads.x": spark.range(1)}))
+    run._stored["google_ads_search", "tourism"] = spark.range(3).withColumn("mark", F.lit("stored"))
+    assert run._built("google_ads_search", TOURISM).columns == ["id", "mark"]
+    with pytest.raises(KeyError):
+        run._built("google_ads_search", replace(MOUNTAIN, search_customer_id=1))
