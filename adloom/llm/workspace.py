@@ -7,6 +7,7 @@ executors cost nothing, and Spark plans the next step by its real size.
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,7 +16,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _own: str | None = None
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Settings of a session's Arrow batches, and the most that the operators let them be.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,14 +38,17 @@ def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where the driver found it.
 
     On a cluster the package comes with --py-files or is installed; the path is harmless there.
+    Batches of whole texts would hold tens of MB on both sides, so the session's are made
+    smaller; as frames are lazy, that stays.
     """
     root = str(Path(__file__).resolve().parents[2])
     paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(":") if p]
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([*paths, root])
-    # Rows are whole texts: batches of the default size would hold tens of MB on both sides.
-    if int(spark.conf.get(BATCH)) > 2000:
-        spark.conf.set(BATCH, "2000")
+    for name, most in BATCH.items():
+        now = re.match(r"(-?\d+)b?$", spark.conf.get(name))
+        if now is None or not 0 < int(now[1]) <= most:
+            spark.conf.set(name, str(most))
 
 
 class Workspace:
