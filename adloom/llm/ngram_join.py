@@ -287,46 +287,44 @@ def _signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "k long, doc_id long, n long, node long, point binary, keys array<long>")
 
 
-def _candidate_edges(signatures: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): edges that connect all nodes that share a key and whose points allow a link."""
+def _candidate_edges(signatures: DataFrame, space: Workspace, percent: int, block: int) -> DataFrame:
+    """(a, b): edges that connect all nodes that share a key and whose points allow a link.
+
+    The nodes of a key with more than ``block`` rows are too many for one tree:
+    all of them are candidates, as a star, and no task ever holds them.
+    """
     one = signatures.where("point IS NOT NULL")
     rows = one.select(F.explode("keys").alias("key"), "node")
     # Summed up before the shuffle: equal sets and common keys cost one row per task.
-    shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    met = rows.join(shared.select("key"), "key").distinct()
+    shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count(F.lit(1)).alias("rows"))
+    shared = shared.where("least <> most").withColumn("head", F.when(F.col("rows") > block, F.col("least"))).select("key", "head")
+    met = space.stage(rows.join(shared, "key").distinct(), "met")
+    stars = met.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    met = met.where("head IS NULL").select("key", "node")
     points = one.groupBy("node").agg(F.first("n").alias("n"), F.first("point").alias("point"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the rows of the last key, which may go on in the next batch
-        large = head = None  # a key with more than ``block`` rows, and its first node
         for batch in batches:
             rows = [batch.column(i).to_numpy() for i in range(3)]
             rows.append(np.array([*batch.column(3).to_pylist(), None], object)[:-1])
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            if large is not None:
-                more = int(np.searchsorted(rows[0], large, "right"))
-                yield from _edge_batches(np.full(more, head), rows[1][:more])
-                rows = [x[more:] for x in rows]
             if not len(rows[0]):
                 held = None
                 continue
             last = int(np.searchsorted(rows[0], rows[0][-1]))
-            yield from _edge_batches(*_meet([x[:last] for x in rows], percent, block))
-            held, large = [x[last:] for x in rows], None
-            if len(held[0]) > block:  # too many for one tree: all of them are candidates
-                large, head = held[0][0], held[1][0]
-                yield from _edge_batches(np.full(len(held[1]) - 1, head), held[1][1:])
-                held = None
+            yield from _edge_batches(*_meet([x[:last] for x in rows], percent))
+            held = [x[last:] for x in rows]
         if held is not None:
-            yield from _edge_batches(*_meet(held, percent, block))
+            yield from _edge_batches(*_meet(held, percent))
 
     dealt = met.join(points, "node").select("key", "node", "n", "point")
     dealt = dealt.repartition(_partitions(signatures.sparkSession), "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long").unionAll(stars).distinct()
 
 
-def _meet(rows: list[np.ndarray], percent: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+def _meet(rows: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges among the rows (key, node, n, packed point) of each of the whole keys given, sorted by key."""
     key, node, n, packed = rows
     if not len(key):
@@ -354,9 +352,6 @@ def _meet(rows: list[np.ndarray], percent: int, block: int) -> tuple[np.ndarray,
     out = [np.column_stack([node[pairs[:, 0]], node[pairs[:, 1]]])]
     for low, m in zip(begin[count > FEW], count[count > FEW], strict=True):
         own = slice(low, low + m)
-        if m > block:
-            out.append(np.column_stack([np.full(m - 1, node[low]), node[low + 1 : low + m]]))
-            continue
         found = join_block(points_of(packed[own], n[own]), n[own], percent)
         out += [node[own][np.array(found)]] if found else []
     edges = np.concatenate(out)
@@ -523,12 +518,13 @@ def _components(docs, doc_id, text, size, percent, block) -> DataFrame:
     space = Workspace(docs.sparkSession, "ngram-join")
     texts = docs.select(row_key(doc_id, text).alias("k"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signatures = space.stage(_signatures(texts, size, percent), "signatures")
-    clusters = components(_candidate_edges(signatures, percent, block), space, "clusters")
+    clusters = components(_candidate_edges(signatures, space, percent, block), space, "clusters")
     clusters = clusters.unionAll(clusters.select(F.col("root").alias("node"), "root").distinct())
     clusters = space.stage(clusters.withColumnRenamed("root", "cluster"), "members")
 
     nodes = space.stage(signatures.drop("keys", "point"), "nodes")
     space.drop("signatures")
+    space.drop("met")
     named = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("k").alias("k"))
     members = space.stage(clusters.join(named, "node"), "clusters")
     sets = _member_sets(texts, members.select("node", "k"), size)
