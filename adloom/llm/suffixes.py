@@ -49,6 +49,8 @@ LENGTH = 400
 GRAM = 160
 #: Bytes of texts worked on at once.
 PIECE = 1 << 19
+#: Parts that the contexts of a gram are dealt to.
+SALTS = 16
 #: Suffixes of one sorted run.
 RUN = 50_000
 #: Suffixes that the driver samples to choose splitters: so many at least, and so many for each range.
@@ -423,7 +425,10 @@ def repeated_spans(texts: DataFrame, space: Workspace) -> DataFrame:
     whole = space.stage(whole.select("k", F.col("first").alias("low"), (F.col("last") + LENGTH).alias("high")), "whole")
 
     several = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1").select("gram")
-    chosen = space.stage(distinct.join(several, "gram").select("rid", (F.col("n") == 1).alias("alone")), "chosen")
+    # The contexts of a common gram are dealt to several tasks.
+    several = several.select("gram", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    salted = distinct.withColumn("salt", F.pmod(F.col("context"), F.lit(SALTS)))
+    chosen = space.stage(salted.join(several, ["gram", "salt"], "left_semi").select("rid", (F.col("n") == 1).alias("alone")), "chosen")
     known = bloom.build(chosen.select(F.xxhash64("rid").alias("h")), "h")
     members = rows.drop("context").where(bloom.may_match(known, F.xxhash64("rid"))).join(chosen, "rid")
     members = space.stage(members, "members")
