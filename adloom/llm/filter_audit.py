@@ -98,9 +98,10 @@ def mask_counts(
     text: str = "text",
     part: str = "lang",
     filters: dict[str, Callable[[Column, Column], Column]] = FILTERS,
+    space: Workspace | None = None,
 ) -> DataFrame:
     """(part, mask, n, good, toxic): documents by the filters they fail; bit i is the i-th letter, the last that of repeats."""
-    space = Workspace(docs.sparkSession, "filter-audit")
+    space = space or Workspace(docs.sparkSession, "filter-audit")
     letters = "".join(filters) + REPEAT
     facts = space.stage(_facts(docs, doc_id, text, part, filters, letters), "facts")
     blocks = facts.count() * PER_TEXT // BLOCK + 1
@@ -157,7 +158,8 @@ def interactions(counts: DataFrame, letters: str) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, filters: dict[str, Callable[[Column, Column], Column]] = FILTERS, **columns: str) -> DataFrame:
     """``interactions`` of the filters and of repeats, over all orders."""
     space = Workspace(docs.sparkSession, "filter-audit")
-    counts = space.stage(mask_counts(docs, labels, filters=filters, **columns), "counts")
+    counts = space.stage(mask_counts(docs, labels, filters=filters, space=space, **columns), "counts")
+    space.keep_only("counts")
     return interactions(counts, "".join(filters) + REPEAT)
 
 

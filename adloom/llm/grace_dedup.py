@@ -254,6 +254,7 @@ def _joined(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
         if todo.select("uid").isEmpty():
             break
 
+    space.keep_only("collapsed", *[f"level-{k}" for k in range(len(levels))])
     found = None
     for done in reversed(levels):
         here = done.where("NOT open").select("uid", F.col("into").alias("root"), F.col("id").alias("keep_id"), "n", "sha")

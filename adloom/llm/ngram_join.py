@@ -533,6 +533,7 @@ def _components(docs, doc_id, text, size, percent, block) -> DataFrame:
     roots = components(links, space, "groups").select("node", F.col("root").alias("component"))
     rows = nodes.join(roots, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = space.stage(rows, "rows")
+    space.keep_only("rows")
     # A null id is greater than any, so a group of such rows only has one of them as its first.
     firsts = rows.where("component IS NOT NULL").groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k")).alias("f")

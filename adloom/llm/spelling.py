@@ -282,6 +282,7 @@ def _roots(forms: DataFrame, space: Workspace) -> DataFrame:
         step += 1
         now = space.stage(joined, f"roots-{step}")
         if now.where("moved").isEmpty():
+            space.keep_only("words", "met", f"roots-{step}")
             return now.select("word", "root")
         now = now.drop("moved")
 

@@ -57,12 +57,20 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+        self._staged: list[str] = []
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+        self._staged.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_only(self, *names: str) -> None:
+        """Drop every table but those that the result still reads."""
+        for name in [n for n in self._staged if n not in names]:
+            self.drop(name)
+            self._staged.remove(name)
+
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
