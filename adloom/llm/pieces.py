@@ -40,8 +40,8 @@ from adloom.llm.workspace import spare_name
 
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Stretches, and pairs of pieces, that a worker remembers at most: about 200 bytes each.
-REMEMBERED = 400_000
+#: Stretches of each of two generations, and half the pairs of pieces, that a worker remembers: about 200 bytes each.
+REMEMBERED = 500_000
 
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -74,31 +74,30 @@ class Vocabulary:
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
 
 
-#: Mark of a node of ``_tree`` where a piece ends.
-PIECE = ""
-
-
-def _tree(pieces) -> dict:
-    """The pieces as a tree of dicts by letter."""
+def _tree(pieces) -> dict[str, tuple[dict, bool]]:
+    """The pieces as a tree: by letter, the letters that may follow, and whether a piece ends here."""
     root: dict = {}
-    for piece in pieces:
+    for piece in sorted(pieces):  # a piece comes before those that it begins
         node = root
-        for letter in piece:
-            node = node.setdefault(letter, {})
-        node[PIECE] = True
+        for letter in piece[:-1]:
+            node = node.setdefault(letter, ({}, False))[0]
+        node[piece[-1]] = ({}, True)
     return root
 
 
 class Remembered(dict):
-    """A dict that computes missing values, and starts anew when it is full."""
+    """A dict that computes missing values; when it is full, what the generation before knew and nobody asked for is forgotten."""
 
     def __init__(self, of):
         super().__init__()
-        self.of = of
+        self.of, self.before = of, {}
 
     def __missing__(self, key):
-        value = self.of(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.of(key)
         if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -140,7 +139,7 @@ class Codec:
     def stay_apart(self, a: str, b: str) -> bool:
         """Whether merging a + b alone gives a and b: the two are whole, so it does unless a merge crosses between them."""
         self.pairs += 1
-        if self.pairs > REMEMBERED:
+        if self.pairs > 2 * REMEMBERED:
             self.apart.clear()
             self.pairs = 0
         parts, scores, border = list(a + b), self.v.scores, len(a)
@@ -163,26 +162,25 @@ class Codec:
         base = 0  # boundary up to which ids are committed; lists begin there
         before: list[str | None] = [None]  # last piece of the path that ends at each boundary
         total = [0.0]
-        live: list[tuple[int, dict]] = [(0, start)]  # boundaries that can be extended, the last first, and where in the tree they are
+        live: list[tuple[int, dict]] = [(0, start)]  # boundaries that can be extended, the last first, and the letters they want
         check = longest
-        for end, letter in enumerate(text, 1):
+        end = 0
+        for letter in text:
+            newest, end = end, end + 1
             best, best_total, still = None, 0.0, []
-            newest = end - 1
-            for begin, node in live:
-                node = node.get(letter)
-                if node is None:
+            for begin, wanted in live:
+                found = wanted.get(letter)
+                if found is None:
                     if begin != newest:
                         continue
                     piece = letter  # no piece begins so: a character may always stand alone
                 else:
-                    if len(node) > (PIECE in node):
-                        still.append((begin, node))
-                    if PIECE not in node:
-                        if begin != newest:
-                            continue
-                        piece = letter
-                    else:
-                        piece = text[begin:end]
+                    wanted, whole = found
+                    if wanted:
+                        still.append((begin, wanted))
+                    if best is not None and not unigram or not whole and begin != newest:
+                        continue
+                    piece = text[begin:end]
                 if unigram:
                     score = total[begin - base] + v.scores.get(piece, v.unknown_score)
                     if best is None or score > best_total:
@@ -196,8 +194,13 @@ class Codec:
                     best = piece
             before.append(best)
             total.append(best_total)
-            live = [(end, start), *still] if best is not None else still
-            if len(live) == 1 and best is not None or end - base >= check:
+            if best is not None:
+                meet = not still
+                still.insert(0, (end, start))
+            else:
+                meet = False
+            live = still
+            if meet or end - base >= check:
                 base, before, total = self.commit(out, base, before, total, [begin for begin, _ in live])
                 check = max(longest, end - base + 4)
         self.flush(out, before, len(before) - 1, 0)
