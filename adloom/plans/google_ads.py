@@ -33,6 +33,17 @@ def campaign_attributes(campaigns: DataFrame) -> DataFrame:
     )
 
 
+def first_version(campaigns: DataFrame) -> DataFrame:
+    """The version of every campaign that a pick by its attributes takes.
+
+    All versions of a campaign get the same sums, so a pick that compares
+    attributes can only end at this one; the others would repeat every row.
+    """
+    return pick_one(
+        campaigns, ["known_campaign"], tie_break=["_LATEST_DATE", "campaign_budget", "campaign_name", "campaign_status"]
+    )
+
+
 def _of_customer(streams: Streams, label: Label, customer_id: int):
     def read(name: str) -> DataFrame:
         return streams.read(name, label.name).where(F.col("customer_id") == customer_id)
@@ -51,10 +62,13 @@ def google_ads_display(streams: Streams, label: Label, strict: bool = False) ->
         ["ad_id", "click_url"],
         ["ad_name"],
     )
+    # An ad's names and links are compared before its sums, which they do not
+    # change: one version of each ad is left to join, as of each campaign.
+    ads = pick_one(ads, ["ad_id"], tie_break=["ad_name", "click_url"])
     groups = distinct_array(read("google_ads.ad_group"), ["ad_group_id"], ["ad_group_name"])
-    campaigns = campaign_attributes(read("google_ads.campaign"))
+    campaigns = first_version(campaign_attributes(read("google_ads.campaign")))
 
-    # Sum per raw key before the joins repeat the rows; the sums carry over.
+    # Sum per raw key before the joins; the sums carry over.
     metrics = ["revenue", "total_conversions", "cost_micros", *_COUNTS]
     stats = (
         read("google_ads.ad_stats")
@@ -101,7 +115,7 @@ def google_ads_display(streams: Streams, label: Label, strict: bool = False) ->
 
 def google_ads_search(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
     read = _of_customer(streams, label, label.account("search_customer_id"))
-    campaigns = campaign_attributes(read("google_ads.campaign"))
+    campaigns = first_version(campaign_attributes(read("google_ads.campaign")))
     metrics = ["total_conversions", "cost_micros", *_COUNTS]
     stats = (
         read("google_ads.campaign_stats")
