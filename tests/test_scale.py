@@ -6,6 +6,7 @@ import datetime as dt
 from adloom.plans import google_ads
 from adloom.plans.labels import TOURISM
 from adloom.plans.runner import run_model
+from adloom.queries import base
 from adloom.sources.streams import Streams
 
 
@@ -51,3 +52,12 @@ def test_versions_of_ads_and_campaigns_do_not_repeat_the_stats(spark, monkeypatc
     search = run_model("google_ads_search", label, Streams(spark, given=google(spark)))
     assert [tuple(r) for r in search.select("campaign_id", "clicks", "campaign_name").orderBy("campaign_id").collect()] == [(7, 8, "n_0"), (8, 8, "n_0")]
     assert {tuple(k): df.count() for k, df in seen}["date", "campaign_id"] == 2
+
+
+def test_rows_that_many_tasks_read_are_staged_without_a_shuffle(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(base, "stage", lambda df, *_: staged.append(df) or df)
+    base.as_envelope(spark.range(0, 1000, 1, 8), {"id": "id"})
+    base.as_envelope(spark.range(0, 1000, 1, 1), {"id": "id"})
+    assert [plan(df).count("Exchange") for df in staged] == [0, 1]
+    assert [df.count() for df in staged] == [1000, 1000]
