@@ -6,7 +6,7 @@ import datetime as dt
 from adloom.plans import google_ads
 from adloom.plans.labels import TOURISM
 from adloom.plans.runner import run_model
-from adloom.queries import base
+from adloom.queries import base, load_queries
 from adloom.sources.streams import Streams
 
 
@@ -61,3 +61,11 @@ def test_rows_that_many_tasks_read_are_staged_without_a_shuffle(spark, monkeypat
     base.as_envelope(spark.range(0, 1000, 1, 1), {"id": "id"})
     assert [plan(df).count("Exchange") for df in staged] == [0, 1]
     assert [df.count() for df in staged] == [1000, 1000]
+
+
+def test_both_labels_share_the_stored_rows(spark, data, monkeypatch):
+    def no_copy(df, name, *_):
+        raise AssertionError(name)
+
+    monkeypatch.setattr(load_queries, "stage", no_copy)
+    assert load_queries.labels_facebook(base.Tables(spark, data)).columns[0] == "label"
