@@ -57,7 +57,9 @@ def _summed(parsed: DataFrame, strict: bool, by: Sequence[str] = ()) -> DataFram
         "media_cost": F.col("spend"),
     }
     per_ad = latest.select(*by, *_AD_DAY, *[c.alias(n) for n, c in metrics.items()])
-    return per_ad.groupBy(*by, *_AD_DAY).agg(*[F.sum(n).alias(n) for n in metrics])
+    # One row per account, ad and day is left, so no ad has many: dealt by ad,
+    # the sums, the joins on ad_id and the last pick need no further shuffle.
+    return per_ad.repartition(*by, "ad_id").groupBy(*by, *_AD_DAY).agg(*[F.sum(n).alias(n) for n in metrics])
 
 
 def campaigns(streams: Streams, label: Label) -> DataFrame:

@@ -8,6 +8,7 @@ from adloom.plans.labels import TOURISM
 from adloom.plans.runner import run_model
 from adloom.queries import base, load_queries
 from adloom.sources.streams import Streams
+from test_models import INSIGHT, facebook_streams
 
 
 def plan(df) -> str:
@@ -69,3 +70,13 @@ def test_both_labels_share_the_stored_rows(spark, data, monkeypatch):
 
     monkeypatch.setattr(load_queries, "stage", no_copy)
     assert load_queries.labels_facebook(base.Tables(spark, data)).columns[0] == "label"
+
+
+def test_facebook_stats_are_dealt_once_after_the_pick(spark):
+    model = run_model("facebook", "tourism", facebook_streams(spark, INSIGHT))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = [line for line in plan(model).splitlines() if "Exchange" in line and "date_start" in line]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("account_id" in line for line in dealt), dealt
