@@ -20,14 +20,16 @@ from adloom.sources.staging import Staging
 _ROWS = "rows"
 
 
-def changes(stored: DataFrame, new: DataFrame, keys: Sequence[str], largest: Sequence[str]) -> DataFrame:
+def changes(stored: DataFrame, new: DataFrame, keys: Sequence[str], largest: Sequence[str], picked: bool = False) -> DataFrame:
     """What ``new`` does to ``stored``, the winners so far: their columns, ``__won`` and ``__change``.
 
     ``__won`` marks the winner of every key. ``__change`` is 1 for a winner that
     is new, -1 for the stored row it replaces, and 0 for stored winners that
-    stay. A row that is loaded again unchanged changes nothing.
+    stay. A row that is loaded again unchanged changes nothing. ``picked`` says
+    that ``new`` has one row per key already.
     """
-    both = stored.withColumn("__new", F.lit(0)).unionByName(pick_one(new, keys, largest).withColumn("__new", F.lit(1)))
+    fresh = new if picked else pick_one(new, keys, largest)
+    both = stored.withColumn("__new", F.lit(0)).unionByName(fresh.withColumn("__new", F.lit(1)))
     rest = [c for c in stored.columns if c not in keys]
     order = [f"`{c}` DESC NULLS LAST" for c in largest] + [f"`{c}` ASC NULLS LAST" for c in rest] + ["__new"]
     window = f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY {', '.join(order)})"
@@ -111,7 +113,7 @@ class LatestTable:
             fresh = staging(pick_one(new, self.keys, self.largest), "fresh")
             days = [r[0] for r in fresh.select(self.day).distinct().collect()]  # the days of one load
             stored = self.rows(new.schema).where(self._of_days(days))
-            ranked = staging(changes(stored, fresh, self.keys, self.largest), "ranked")
+            ranked = staging(changes(stored, fresh, self.keys, self.largest, picked=True), "ranked")
             changed = [r[0] for r in ranked.where("__change <> 0").select(self.day).distinct().collect()]
             if changed:
                 self._refresh.prepare(self._frames(ranked, changed, new.schema))

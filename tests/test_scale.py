@@ -2,11 +2,15 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 
+from adloom.operators import latest
+from adloom.operators.latest import LatestTable
 from adloom.plans import google_ads
 from adloom.plans.labels import TOURISM
 from adloom.plans.runner import run_model
 from adloom.queries import base, load_queries
+from adloom.sources.staging import Staging
 from adloom.sources.streams import Streams
 from test_models import INSIGHT, facebook_streams
 
@@ -80,3 +84,20 @@ def test_facebook_stats_are_dealt_once_after_the_pick(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert all("account_id" in line for line in dealt), dealt
+
+
+def test_a_load_picks_its_winners_once(spark, monkeypatch):
+    calls, pick = [], latest.pick_one
+    monkeypatch.setattr(latest, "pick_one", lambda *a, **k: calls.append(a[1]) or pick(*a, **k))
+    table = LatestTable(spark, Staging(spark).folder, ["k", "day"], ["load"], "day")
+    rows = spark.createDataFrame([(1, dt.date(2024, 5, 1), 1, "a"), (1, dt.date(2024, 5, 1), 2, "b")], "k int, day date, load int, v string")
+    table.load(rows)
+    assert len(calls) == 1
+    assert [r.v for r in table.rows(rows.schema).select(F.col("v")).collect()] == ["b"]
+
+
+def test_buckets_of_parsed_facts_are_not_held_to_a_few_tasks(spark, data, monkeypatch):
+    seen = []
+    monkeypatch.setattr(load_queries, "store_bucketed", lambda *a, **named: seen.append(named))
+    load_queries.bucketed_tiktok(base.Tables(spark, data))
+    assert seen == [{}, {}]
