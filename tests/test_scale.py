@@ -1,16 +1,18 @@
 """Plans of the models that must not grow faster than their input."""
 
 import datetime as dt
+from dataclasses import replace
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from adloom.operators import latest
 from adloom.operators.latest import LatestTable
 from adloom.plans import google_ads
-from adloom.plans.labels import TOURISM
+from adloom.plans.labels import MOUNTAIN, TOURISM
 from adloom.plans.runner import run_model
-from adloom.queries import base, load_queries
-from adloom.sources.staging import Staging
+from adloom.queries import base, load_queries, model_queries
+from adloom.sources.staging import Staging, shared_folder, stage
 from adloom.sources.streams import Streams
 from test_models import INSIGHT, facebook_streams
 
@@ -101,3 +103,39 @@ def test_buckets_of_parsed_facts_are_not_held_to_a_few_tasks(spark, data, monkey
     monkeypatch.setattr(load_queries, "store_bucketed", lambda *a, **named: seen.append(named))
     load_queries.bucketed_tiktok(base.Tables(spark, data))
     assert seen == [{}, {}]
+
+
+def test_a_stored_frame_leaves_no_shuffle_files(spark):
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    stored = stage(spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert shuffled() <= before
+    assert stored.count() == 7
+
+
+def test_media_sources_are_stored_and_freed_one_after_the_other(spark, data):
+    label = replace(MOUNTAIN, media_sources=("tiktok", "hivestack"))
+    streams = model_queries._media_streams(base.Tables(spark, data), label)
+    rows, stored = streams.given, []
+
+    def store(df, name):
+        stored.append((name, [*rows.made]))
+        return stage(df, name)
+
+    table = run_model("dash_table", label, streams, store=store)
+    assert stored == [("facts_tiktok", ["tiktok"]), ("facts_hivestack", ["hivestack"]), ("spellings", [])]
+    assert {r.publisher for r in table.select("publisher").distinct().collect()} == {"Tiktok", "Hivestack"}
+
+
+def test_freed_raw_rows_leave_nothing_behind(spark, data):
+    streams = model_queries._media_streams(base.Tables(spark, data), MOUNTAIN)
+    folder = Path(shared_folder(spark).removeprefix("file://")) / "adloom"
+    before = {*folder.iterdir()}
+    streams.read("hivestack.report", "mountain").count()
+    assert len({*folder.iterdir()} - before) == 1
+    streams.done("hivestack")
+    assert {*folder.iterdir()} == before
