@@ -30,11 +30,9 @@ def tiktok(streams: Streams, label: Label, strict: bool = False) -> DataFrame:
     ads = streams.rows("tiktok.ads", label.name, payloads.TIKTOK_ADS, strict=strict, keep=()).distinct()
 
     # Both sides are partitioned by (ad_id, date) after the pick, so the join
-    # and the grouping need no further shuffle. Days without video rows vanish.
-    daily = basic.join(video, ["ad_id", "date"], "inner").groupBy("ad_id", "date").agg(
-        *[F.sum(m).alias(m) for m in _METRICS]
-    )
-    stats = daily.withColumnRenamed("ad_id", "stat_ad_id")
+    # needs no further shuffle, and it has one row per key: its sums are the row's
+    # own values. Days without video rows vanish.
+    stats = basic.join(video, ["ad_id", "date"], "inner").withColumnRenamed("ad_id", "stat_ad_id")
     # Ad ids are text here and integers there; several versions of an ad repeat its metrics.
     named = stats.join(ads, F.col("stat_ad_id") == F.col("ad_id").try_cast("bigint"), "left").drop("stat_ad_id")
 

@@ -139,3 +139,9 @@ def test_freed_raw_rows_leave_nothing_behind(spark, data):
     assert len({*folder.iterdir()} - before) == 1
     streams.done("hivestack")
     assert {*folder.iterdir()} == before
+
+
+def test_tiktok_days_are_not_summed_again(spark, data):
+    model = run_model("tiktok", "mountain", Streams(spark, given=model_queries._tiktok_streams(base.Tables(spark, data))))
+    sums = [line for line in plan(model).splitlines() if "Aggregate" in line and "sum(" in line]
+    assert not sums, sums
