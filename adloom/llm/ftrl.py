@@ -30,6 +30,8 @@ from adloom.llm.words import NOT_ALNUM, mix, slices, word_hashes
 from adloom.llm.workspace import Workspace, spare_name
 
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes of text scored at once: words and places of a byte take over thirty.
+SCORED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -173,7 +175,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     def of_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string(), from_pandas=True)], ["text"])
-            found = [model.scores(x.column(0)) for x in slices(batch, "text")]
+            found = [model.scores(x.column(0)) for x in slices(batch, "text", SCORED)]
             yield pd.Series(np.concatenate(found) if found else np.zeros(0))
 
     return docs.withColumn(spare_name(docs, column), of_text("text"))

@@ -41,7 +41,7 @@ from adloom.llm.workspace import spare_name
 SPACE = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stretches of each of two generations, and half the pairs of pieces, that a worker remembers: about 200 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 

@@ -1,6 +1,7 @@
 """Line spread, toxicity, quality, decontamination and tokens: odd rows, brute force, round trips, held-out accuracy."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -400,3 +401,19 @@ def test_encode_and_decode_tables(spark):
 
 def test_every_document_round_trips(spark, data):
     assert all(r.round_trip for r in queries.QUERIES["op8_sentencepiece_viterbi"](spark, data).collect())
+
+
+def test_a_worker_holds_little_besides_its_batch():
+    # What stays in a worker's memory from one stage to the next, and what a slice of text unfolds to.
+    assert sum(x.nbytes for x in words.powers(words.PIECE + 1)) <= 16 << 20
+    assert 2 * pieces.REMEMBERED * 200 <= 100 << 20
+    texts = pa.array(["the quick brown fox jumps " * 200] * 1000)
+    model = ftrl.Model(22, 0.0, np.arange(10, dtype=np.int32), np.ones(10, np.float32))
+    parts = [p.column(0) for p in words.slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", ftrl.SCORED)]
+    model.scores(parts[0])
+    tracemalloc.start()
+    scores = np.concatenate([model.scores(p) for p in parts])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    assert np.array_equal(scores, model.scores(texts))
