@@ -4,7 +4,7 @@ import datetime as dt
 from dataclasses import replace
 from pathlib import Path
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from adloom.operators import latest
 from adloom.operators.latest import LatestTable
@@ -12,6 +12,7 @@ from adloom.plans import google_ads
 from adloom.plans.labels import MOUNTAIN, TOURISM
 from adloom.plans.runner import run_model
 from adloom.queries import base, load_queries, model_queries
+from adloom.sources import sinks
 from adloom.sources.staging import Staging, shared_folder, stage
 from adloom.sources.streams import Streams
 from test_models import INSIGHT, facebook_streams
@@ -145,3 +146,17 @@ def test_tiktok_days_are_not_summed_again(spark, data):
     model = run_model("tiktok", "mountain", Streams(spark, given=model_queries._tiktok_streams(base.Tables(spark, data))))
     sums = [line for line in plan(model).splitlines() if "Aggregate" in line and "sum(" in line]
     assert not sums, sums
+
+
+def test_partitions_are_written_without_a_sort_of_their_rows(spark, tmp_path, monkeypatch):
+    key, write, seen = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.parquet, []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: seen.append(spark.conf.get(key)) or write(self, *a, **k))
+    days = 3 * sinks.OPEN_FILES  # more than a task keeps open: the rest goes sorted
+    rows = spark.range(0, 1000, 1, 4).withColumn("day", F.when(F.col("id") % 5 > 0, F.col("id") % days))
+    sinks.replace_partitions(rows, str(tmp_path / "days"), ["day"])
+    sinks.replace_partitions(rows.where("day = 1").withColumn("id", -F.col("id")), str(tmp_path / "days"), ["day"])
+    assert [int(s) > 0 for s in seen] == [True, True] and spark.conf.get(key) == before
+    found = sorted((r.id, r.day) for r in spark.read.parquet(str(tmp_path / "days")).collect() if r.day is not None)
+    assert found == sorted((-i if i % days == 1 else i, i % days) for i in range(1000) if i % 5)
+    assert spark.read.parquet(str(tmp_path / "days")).where("day IS NULL").count() == 200
