@@ -286,6 +286,39 @@ def test_planted_and_odd_repeats(spark):
     assert suffixes.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_repeats_are_handed_out_as_spans_and_text(spark):
+    rng = np.random.default_rng(11)
+
+    def prose(n):
+        return "".join(rng.choice(list("abcdefghij "), n))
+
+    shared, short = prose(500), " ".join(["plain"] * 4 + [prose(5) for _ in range(51)])[:399]
+    rows = [(1, "one " + shared + " two"), (2, shared + prose(40)), (3, "é" + "ö" * 300 + "z"), (4, "x" + "ö" * 300), (7, None)]
+    rows += [(5, prose(100) + "," + short + "," + prose(100)), (6, prose(100) + ";" + short + ";" + prose(100))]
+    got = {r.doc_id: r for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [tuple(x) for x in got[1].spans] == [(4, 504)] and got[1].kept_text == "one  two"
+    assert [tuple(x) for x in got[2].spans] == [(0, 500)] and got[2].kept_text == rows[1][1][500:]
+    assert got[3].kept_text == "éz" and got[4].kept_text == "x"
+    for i, text in rows[4:]:  # a passage of over 50 words, but of fewer than 400 bytes, stays
+        assert got[i].spans == [] and got[i].kept_text == (text or "") and not got[i].has_repeats
+    for i, text in rows:
+        raw, kept, at = (text or "").encode(), b"", 0
+        for low, high in got[i].spans:
+            kept, at = kept + raw[at:low], high
+        kept += raw[at:]
+        assert hashlib.sha256(kept).hexdigest() == got[i].kept_sha256 and got[i].n_bytes - got[i].n_removed == len(kept)
+
+
+def test_a_cut_character_is_marked_in_the_text_alone(spark):
+    same = "ö" * 10 + "a" * 395  # 415 bytes, and the first byte of "ö" and "ü"
+    rows = [(1, "b" + same + "ö"), (2, "c" + same + "ü")]
+    for r in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        raw = rows[r.doc_id - 1][1].encode()
+        assert [tuple(x) for x in r.spans] == [(1, len(raw) - 1)] and r.n_removed == 416
+        assert r.kept_text == "bc"[r.doc_id - 1] + "\ufffd"
+        assert r.kept_sha256 == hashlib.sha256(raw[:1] + raw[-1:]).hexdigest()
+
+
 def test_long_texts_are_cut_without_effect_on_anchors(monkeypatch):
     rng = np.random.default_rng(2)
     raw = rng.integers(97, 100, 6000).astype(np.uint8)
