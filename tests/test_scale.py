@@ -6,13 +6,16 @@ from pathlib import Path
 
 from pyspark.sql import DataFrameWriter, functions as F
 
+from adloom.functions import casts
 from adloom.operators import latest
+from adloom.operators.envelope import fields, parse_envelope, rejects
 from adloom.operators.latest import LatestTable
 from adloom.plans import google_ads
 from adloom.plans.labels import MOUNTAIN, TOURISM
 from adloom.plans.runner import run_model
 from adloom.queries import base, load_queries, model_queries
-from adloom.sources import sinks
+from adloom.session import METHOD_BYTES
+from adloom.sources import payloads, sinks
 from adloom.sources.staging import Staging, shared_folder, stage
 from adloom.sources.streams import Streams
 from test_models import INSIGHT, facebook_streams
@@ -160,3 +163,39 @@ def test_partitions_are_written_without_a_sort_of_their_rows(spark, tmp_path, mo
     found = sorted((r.id, r.day) for r in spark.read.parquet(str(tmp_path / "days")).collect() if r.day is not None)
     assert found == sorted((-i if i % days == 1 else i, i % days) for i in range(1000) if i % 5)
     assert spark.read.parquet(str(tmp_path / "days")).where("day IS NULL").count() == 200
+
+
+def test_numbers_are_read_without_a_look_at_their_type(spark):
+    rows = spark.createDataFrame([('{"d": "1.5", "c": "1,5", "p": "2%"}',)], "data string")
+    wanted = [*fields("double", d="d"), *fields("decimal_comma", c="c"), *fields("percent", p="p")]
+    assert plan(parse_envelope(rows, wanted)).count("schemaOfVariant") == 0
+    assert plan(parse_envelope(rows, wanted, keys=["d"])).count("schemaOfVariant") > 0
+    assert parse_envelope(rows, wanted).collect() == [(1.5, 1.5, 2.0)]
+
+
+def test_numbers_are_read_as_before(spark):
+    texts = ["1", "1.5", "12d", "12D", "12f", "12F ", "12d\t", "12d\n", "12d\u0085", "12d\x01", "12 ", "", "inf", "-Infinity", "NaN", "5.", "5.d", "d", "0x1fp3", "0x1p1f", "1e5f", "1,5", "[1", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    before = F.when(~F.col("t").rlike(r"[0-9.][dDfF]\s*$"), F.col("t").try_cast("double"))
+    assert [r for r in rows.select("t", before.alias("a"), casts.to_double(F.col("t")).alias("b")).collect() if repr(r.a) != repr(r.b)] == []
+
+
+def test_a_container_is_no_number_and_no_bad_key(spark):
+    wanted = [*fields("long", k="k", n="n"), *fields("double", d="d"), *fields("date:iso", day="day"), *fields("percent", p="p"), *fields(t="t")]
+    texts = ['{"k": 1, "n": [1], "d": {"a": 1}, "day": ["2024-01-01"], "p": "[1%", "t": "[x"}', '{"k": [1], "n": 2}', '{"k": "[1", "n": 3}', '{"k": "{", "t": {}}']
+    rows = spark.createDataFrame([(t,) for t in texts], "data string")
+    kept = parse_envelope(rows, wanted, keys=["k"])
+    assert sorted(map(tuple, kept.collect()), key=str) == [(1, None, None, None, None, "[x"), (None, 2, None, None, None, None)]
+    assert [r.data for r in rejects(rows, wanted, keys=["k"]).collect()] == texts[2:]
+
+
+def test_wide_models_run_in_a_session_of_their_own(spark, data):
+    limit, key = "spark.sql.codegen.hugeMethodLimit", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(limit)
+    spark.conf.set(key, "7")
+    try:
+        model = model_queries.model_ttd_serialised(base.Tables(spark, data))
+    finally:
+        spark.conf.set(key, "4")
+    assert int(model.sparkSession.conf.get(limit)) == METHOD_BYTES and model.sparkSession.conf.get(key) == "7"
+    assert spark.conf.get(limit) == before
