@@ -4,10 +4,12 @@ import datetime as dt
 from dataclasses import replace
 from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrameWriter, functions as F
 
 from adloom.functions import casts
 from adloom.operators import latest
+from adloom.operators.arrays import order_text
 from adloom.operators.envelope import fields, parse_envelope, rejects
 from adloom.operators.latest import LatestTable
 from adloom.plans import google_ads
@@ -199,3 +201,39 @@ def test_wide_models_run_in_a_session_of_their_own(spark, data):
         spark.conf.set(key, "4")
     assert int(model.sparkSession.conf.get(limit)) == METHOD_BYTES and model.sparkSession.conf.get(key) == "7"
     assert spark.conf.get(limit) == before
+
+
+def test_arrays_sort_by_their_text(spark):
+    texts = [None, "", "a", "ab", "a\0", "a\0b", "a\1", "\0", "\1", "\2", "é", "10", "9"]
+    elements = [None, *[(k, v) for k in texts for v in (None, "", "\1", "5", "50")]]
+    arrays = [None, [], *[[e] for e in elements], *[[e, f] for e in elements[:20] for f in elements[:20:3]]]
+    rows = spark.createDataFrame([(a, arrays[i * 7 % len(arrays)]) for i, a in enumerate(arrays)], "a array<struct<k:string,v:string>>, b array<struct<k:string,v:string>>")
+    text = order_text((F.col("a"), ("k", "v")), (F.col("b"), ("k", "v")))
+    ranked = rows.withColumn("o", text).selectExpr("dense_rank() OVER (ORDER BY a NULLS LAST, b NULLS LAST) AS of_arrays", "dense_rank() OVER (ORDER BY o) AS of_text")
+    assert ranked.where("of_arrays <> of_text").count() == 0
+
+
+def test_facebook_shuffles_no_arrays_and_settles_ties_by_them(spark):
+    def insight(shares):
+        return INSIGHT | {"actions": [{"action_type": "other", "value": "1"}, {"action_type": "post", "value": shares}]}
+
+    model = run_model("facebook", "tourism", facebook_streams(spark, insight("9"), insight("10"), insight("11"), loaded=["2024-05-01"] * 3))
+    assert [r.shares for r in model.select("shares").collect()] == [10]
+    dealt = [line for line in plan(model).splitlines() if "WindowGroupLimit" in line and "account_id" in line]
+    assert dealt and not [line for line in dealt if "actions" in line], dealt
+
+
+def test_labels_of_an_ad_are_dealt_once(spark, data):
+    model = load_queries.labels_facebook(base.Tables(spark, data))
+    model.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shuffles = [line for line in plan(model).splitlines() if "Exchange" in line and "account_id" in line]
+    assert not shuffles, shuffles
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_packed_documents_are_kept_in_small_row_groups(spark):
+    rows = spark.range(0, 300_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 512).alias("data"))
+    stored = stage(rows, "raw", "zstd")
+    parts = [p.removeprefix("file://") for p in stored.inputFiles()]
+    groups = [pq.ParquetFile(p).metadata.num_row_groups for p in parts]
+    assert len(groups) == 1 and groups[0] > 1 and stored.count() == 300_000
